@@ -10,14 +10,14 @@ SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a temporary one only in local mode, where none may be set."""
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder that every node can reach")
-    folder = tempfile.mkdtemp(prefix="shopfloor-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {SETTING} to a folder that every node can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shopfloor-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
