@@ -2,7 +2,8 @@
 
 Dividing decimals and rounding afterwards rounds twice (once to the scale of the quotient, once to
 the wanted places), and ``avg`` of an integer goes through floating point. The ratio is therefore
-taken in whole numbers: ``(2 * scale * num + den) div (2 * den)`` is the half-up quotient.
+taken in whole numbers: ``(2 * scale * num ± den) div (2 * den)`` is the half-up quotient, as ``div``
+cuts towards zero and the sign of the middle term is that of the result.
 """
 
 from decimal import Decimal
@@ -11,11 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _quotient(num: Column, den: Column, scale: int, factor: Column, two: Column) -> Column:
-    n, d = F.abs(num), F.abs(den)
+def _quotient(num: Column, den: Column, factor: Column, two: Column) -> Column:
+    half = F.when((num < 0) == (den < 0), den).otherwise(-den)
     # A zero denominator gives NULL, never an error, as NULLIF(den, 0) would.
-    units = F.call_function("div", n * factor + d, F.nullif(d, F.lit(0)) * two)
-    return F.when((num < 0) != (den < 0), -units).otherwise(units)
+    return F.call_function("div", num * factor + half, F.nullif(den, F.lit(0)) * two)
 
 
 def _shift(units: Column, places: int) -> Column:
@@ -27,14 +27,14 @@ def ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> C
     """Half-up ``num / den`` of aggregates; NULL where ``den`` is 0 or either side is NULL."""
     scale = 10**places * (100 if percent else 1)
     num, den = num.cast("decimal(28,2)"), den.cast("decimal(28,2)")
-    return _shift(_quotient(num, den, scale, F.lit(Decimal(2 * scale)), F.lit(Decimal(2))), places)
+    return _shift(_quotient(num, den, F.lit(Decimal(2 * scale)), F.lit(Decimal(2))), places)
 
 
 def row_ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> Column:
     """``ratio`` for int columns of single rows: stays in 64-bit arithmetic."""
     scale = 10**places * (100 if percent else 1)
     num, den = num.cast("bigint"), den.cast("bigint")
-    return _shift(_quotient(num, den, scale, F.lit(2 * scale), F.lit(2)), places)
+    return _shift(_quotient(num, den, F.lit(2 * scale), F.lit(2)), places)
 
 
 def percent(num: Column, den: Column, places: int = 2) -> Column:

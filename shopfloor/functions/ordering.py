@@ -14,3 +14,8 @@ def pg_desc(name: str) -> Column:
 
 def pg_asc(name: str) -> Column:
     return F.col(name).asc_nulls_last()
+
+
+def newest_first(plant: str) -> list[Column]:
+    """The order of the extract; the run id makes it total."""
+    return [pg_desc("run_date"), pg_asc(plant), pg_asc("shift"), pg_asc("run_id")]

@@ -1,4 +1,4 @@
-"""Latest row per group and most frequent value per group."""
+"""Latest row per group, most frequent value per group and the check that goes with it."""
 
 from collections.abc import Sequence
 
@@ -20,3 +20,19 @@ def first_mode(kind: Column, wanted: str, value: Column, n: Column) -> Column:
     """Aggregate over (kind, value, count) rows: the most frequent non-null value, ties to the smallest."""
     candidate = F.when((kind == wanted) & value.isNotNull(), F.struct((-n).alias("n"), value.alias("v")))
     return F.min(candidate)["v"]
+
+
+MAX_LABELS = 1_000
+MAX_LABEL_BYTES = 1_024
+
+
+def few_labels(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS) -> bool:
+    """Whether the columns hold few and short values, measured by one aggregate.
+
+    ``mode`` keeps every distinct value of a group in memory; this bounds what that can be.
+    """
+    row = df.agg(
+        F.greatest(*[F.approx_count_distinct(c) for c in columns], F.lit(0)).alias("labels"),
+        F.greatest(*[F.max(F.octet_length(c)) for c in columns], F.lit(0)).alias("width"),
+    ).first()
+    return row["labels"] <= max_labels and row["width"] <= MAX_LABEL_BYTES

@@ -60,23 +60,28 @@ def attach(
     spread: str = "run_id",
     null_safe: Sequence[str] = (),
     limits: JoinLimits = DEFAULT_LIMITS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left join of ``facts`` with ``lookup`` on equally named ``keys``.
 
     A lookup whose measured size is within bounds is broadcast. Otherwise both sides are shuffled,
     with the rows of hot keys spread over slices by a hash of ``spread`` and the lookup rows of
-    those keys repeated once per slice. Nothing is dropped on either way.
+    those keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in
+    ``keys_from``, a cheaper table with the same keys, if ``facts`` is itself the result of joins.
     """
     if fits_broadcast(lookup, limits):
         lookup, right = _prefixed(lookup, keys, "_r_")
         joined = facts.join(F.broadcast(lookup), _match(keys, right, null_safe), how)
         return joined.drop(*right)
-    return _sliced_join(facts, lookup, keys, how, spread, null_safe, limits)
+    counted = facts if keys_from is None else keys_from
+    hot = _hot_keys(counted, keys, limits)
+    return _sliced_join(facts, lookup, hot, keys, how, spread, null_safe)
 
 
-def _sliced_join(facts, lookup, keys, how, spread, null_safe, limits):
-    hot = (
-        facts.groupBy(*keys)
+def _hot_keys(counted: DataFrame, keys: Sequence[str], limits: JoinLimits) -> DataFrame:
+    """The hottest keys and into how many slices each is cut; at most ``hot_keys`` rows by construction."""
+    return (
+        counted.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > limits.slice_rows)
         .orderBy(F.col("_n").desc_nulls_last(), *keys)
@@ -84,7 +89,18 @@ def _sliced_join(facts, lookup, keys, how, spread, null_safe, limits):
         .withColumn("_slices", F.ceil(F.col("_n") / F.lit(limits.slice_rows)).cast("bigint"))
         .drop("_n")
     )
-    # At most ``hot_keys`` rows by construction, hence a safe broadcast; NULL keys may be hot too.
+
+
+def _sliced_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    hot: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    spread: str,
+    null_safe: Sequence[str],
+) -> DataFrame:
+    # NULL may be the hottest key, so the hot keys are matched null-safe.
     hot, hot_names = _prefixed(hot, keys, "_h_")
     hot = F.broadcast(hot)
     on_hot = _match(keys, hot_names, keys)

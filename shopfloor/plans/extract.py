@@ -6,20 +6,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions.numeric import percent, row_ratio
-from shopfloor.functions.ordering import pg_asc, pg_desc
-from shopfloor.operators.grouping import first_mode, latest_per_group
+from shopfloor.functions.ordering import newest_first, pg_asc, pg_desc
+from shopfloor.operators.grouping import MAX_LABELS, few_labels, first_mode, latest_per_group
 from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
 from shopfloor.schemas import EXTRACT
 from shopfloor.sources.tables import Tables
 from shopfloor.storage import materialize
 
 
-def quality_rollup(checks: DataFrame) -> DataFrame:
+LABELS = ["defect_type", "severity"]
+
+
+def quality_rollup(checks: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """Checks added up per run, with the most frequent defect type and severity.
 
-    Each check counts once under its defect type and once under its severity; those counts are
-    combined on the map side, so that no task holds the values of a whole run, however many checks
-    the run has.
+    ``mode`` does it in one shuffle, holding the distinct labels of a run in memory. That is used
+    only after a check that there are few of them; otherwise they are counted as rows.
+    """
+    few = few_labels(checks, LABELS, max_labels)
+    sums = _rollup_by_mode(checks) if few else _rollup_by_counts(checks)
+    return sums.select(
+        "run_id",
+        "total_checks",
+        "total_sampled",
+        "total_passed",
+        "total_failed",
+        percent(F.col("total_failed"), F.col("total_sampled")).alias("defect_rate_pct"),
+        "primary_defect_type",
+        "primary_severity",
+    )
+
+
+def _rollup_by_mode(checks: DataFrame) -> DataFrame:
+    return checks.groupBy("run_id").agg(
+        F.count("check_id").alias("total_checks"),
+        F.sum("sample_size").alias("total_sampled"),
+        F.sum("passed").alias("total_passed"),
+        F.sum("failed").alias("total_failed"),
+        # Deterministic: the smallest of equally frequent labels.
+        F.mode("defect_type", True).alias("primary_defect_type"),
+        F.mode("severity", True).alias("primary_severity"),
+    )
+
+
+def _rollup_by_counts(checks: DataFrame) -> DataFrame:
+    """Each check counts once under its defect type and once under its severity.
+
+    The counts are combined on the map side, so that no task holds the labels of a whole run.
     """
     numbers = ["check_id", "sample_size", "passed", "failed"]
     labelled = checks.select(
@@ -38,7 +71,7 @@ def quality_rollup(checks: DataFrame) -> DataFrame:
         F.sum("failed").alias("failed"),
     )
     kind, label, n = F.col("kind"), F.col("label"), F.col("n")
-    per_run = per_label.groupBy("run_id").agg(
+    return per_label.groupBy("run_id").agg(
         F.sum("checks").alias("total_checks"),
         F.sum("sampled").alias("total_sampled"),
         F.sum("passed").alias("total_passed"),
@@ -46,16 +79,6 @@ def quality_rollup(checks: DataFrame) -> DataFrame:
         first_mode(kind, "defect", label, n).alias("primary_defect_type"),
         first_mode(kind, "severity", label, n).alias("primary_severity"),
     )
-    return per_run.select(
-        "run_id",
-        "total_checks",
-        "total_sampled",
-        "total_passed",
-        "total_failed",
-        percent(F.col("total_failed"), F.col("total_sampled")).alias("defect_rate_pct"),
-        "primary_defect_type",
-        "primary_severity",
-    )
 
 
 def as_of_date(as_of: datetime.date | None) -> Column:
@@ -105,8 +128,10 @@ def _active_products(tables: Tables) -> DataFrame:
     )
 
 
-def _joined(tables: Tables, as_of: datetime.date | None, limits: JoinLimits) -> DataFrame:
-    """All extract columns and ``plant_id``.
+def keyed_extract(
+    tables: Tables, as_of: datetime.date | None = None, limits: JoinLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """The extract's columns and ``plant_id``, in no order.
 
     The checks are joined first, while the run rows are narrow; plant and product attributes are
     added last, without a further shuffle where they fit a broadcast. The plant context comes from
@@ -117,8 +142,9 @@ def _joined(tables: Tables, as_of: datetime.date | None, limits: JoinLimits) ->
     )
     with_checks = runs.join(quality_rollup(tables.quality_checks), "run_id", "left")
     context = materialize(_plant_context(tables, as_of), "plant-context")
-    with_plants = attach(with_checks, context, ["plant_id"], limits=limits)
-    return attach(with_plants, _active_products(tables), ["product_id"], limits=limits)
+    with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs)
+    joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs)
+    return joined.select(*EXTRACT.fieldNames(), "plant_id")
 
 
 def run_extract(
@@ -127,11 +153,11 @@ def run_extract(
     ordered: bool = True,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """The extract, newest runs first, then by plant and shift (neither the plant id nor the product id shown)."""
-    joined = _joined(tables, as_of, limits)
+    """The extract, newest runs first, then by plant id (not shown), shift and run id."""
+    keyed = keyed_extract(tables, as_of, limits)
     if ordered:
-        joined = joined.orderBy(pg_desc("run_date"), pg_asc("plant_id"), pg_asc("shift"), pg_asc("run_id"))
-    return joined.select(*EXTRACT.fieldNames())
+        keyed = keyed.orderBy(*newest_first("plant_id"))
+    return keyed.drop("plant_id")
 
 
 def join_preview(tables: Tables, rows: int = 10, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:

@@ -72,7 +72,7 @@ def _best(tables: Tables, rows: int) -> DataFrame:
     the runs wanted, and only those runs are joined and sorted.
     """
     order = [pg_asc("plant_name"), pg_asc(WITHIN), pg_asc("plant_id")]
-    first = ranked_cells(tables).orderBy(*order, pg_asc("efficiency_pct")).limit(rows)
+    first = materialize(ranked_cells(tables).orderBy(*order, pg_asc("efficiency_pct")).limit(rows), "first-ranks")
     # Equal (id, name) pairs in ``plants`` may be cut by the limit; the runs are matched with whole cells.
     cells = first.select(*KEYS, GLOBAL, WITHIN).distinct().withColumnsRenamed({k: f"_{k}" for k in KEYS})
     same = (F.col("plant_id") == F.col("_plant_id")) & F.col("efficiency_pct").eqNullSafe(F.col("_efficiency_pct"))

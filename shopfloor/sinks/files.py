@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from shopfloor.functions.ordering import pg_asc, pg_desc
+from shopfloor.functions.ordering import newest_first
 from shopfloor.schemas import EXTRACT
 from shopfloor.storage import materialize
 
@@ -20,15 +20,16 @@ def save_extract(extract: DataFrame, path: str, formats: tuple[str, ...] = ("csv
 
     The extract is computed once into the shared folder. Whether it is empty and how its keys are
     distributed for the sort is then read from those files, not by computing it again. Part files
-    follow the order: newest runs first, then plant name, shift and run id.
+    follow the order of the extract: newest runs first, then plant, shift and run id. ``plant_id``
+    orders the plants if the frame carries it, as ``keyed_extract`` does; it is not written.
     """
     staged = materialize(extract, "extract")
     if staged.isEmpty():
         raise EmptyExtract(f"the extract has no rows, {path} was not written")
-    order = [pg_desc("run_date"), pg_asc("plant_name"), pg_asc("shift"), pg_asc("run_id")]
+    plant = "plant_id" if "plant_id" in staged.columns else "plant_name"
     for kind in formats:
         target = path if len(formats) == 1 else f"{path}/{kind}"
-        writer = staged.orderBy(*order).write.mode("overwrite").format(kind)
+        writer = staged.orderBy(*newest_first(plant)).select(*EXTRACT.fieldNames()).write.mode("overwrite").format(kind)
         (writer.options(**CSV_FORMAT) if kind == "csv" else writer).save(target)
 
 

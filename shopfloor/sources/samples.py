@@ -119,14 +119,14 @@ def _equipment(read) -> DataFrame:
     )
 
 
+_DERIVED = {
+    "production_runs": _production_runs,
+    "quality_checks": _quality_checks,
+    "equipment": _equipment,
+    "plants": _plants,
+    "products": _products,
+}
+
+
 def from_samples(spark: SparkSession, folder: str) -> Tables:
-    def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    return Tables(
-        production_runs=_production_runs(read),
-        quality_checks=_quality_checks(read),
-        equipment=_equipment(read),
-        plants=_plants(read),
-        products=_products(read),
-    )
+    return Tables(spark, lambda name: _DERIVED[name](lambda file: spark.read.parquet(f"{folder}/{file}.parquet")))

@@ -1,6 +1,7 @@
 """The five source tables, from files, a catalog schema or a database."""
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,20 +10,35 @@ from pyspark.sql import types as T
 from shopfloor import schemas
 
 
-@dataclass(frozen=True)
 class Tables:
-    production_runs: DataFrame
-    quality_checks: DataFrame
-    equipment: DataFrame
-    plants: DataFrame
-    products: DataFrame
+    """The five tables; each is opened when a query first asks for it."""
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.production_runs.sparkSession
+    def __init__(self, spark: SparkSession, load: Callable[[str], DataFrame]):
+        self.spark = spark
+        self._load = load
+
+    @cached_property
+    def production_runs(self) -> DataFrame:
+        return self._load("production_runs")
+
+    @cached_property
+    def quality_checks(self) -> DataFrame:
+        return self._load("quality_checks")
+
+    @cached_property
+    def equipment(self) -> DataFrame:
+        return self._load("equipment")
+
+    @cached_property
+    def plants(self) -> DataFrame:
+        return self._load("plants")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._load("products")
 
     def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+        return [(name, getattr(self, name)) for name in schemas.TABLES]
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -32,13 +48,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def from_parquet(spark: SparkSession, folder: str) -> Tables:
     """``<folder>/<table>``, each a parquet file or folder."""
-    return Tables(
-        **{name: conform(spark.read.parquet(f"{folder}/{name}"), schema) for name, schema in schemas.TABLES.items()}
-    )
+    return Tables(spark, lambda name: conform(spark.read.parquet(f"{folder}/{name}"), schemas.TABLES[name]))
 
 
 def from_catalog(spark: SparkSession, schema: str = "manufacturing") -> Tables:
-    return Tables(**{name: conform(spark.table(f"{schema}.{name}"), kind) for name, kind in schemas.TABLES.items()})
+    return Tables(spark, lambda name: conform(spark.table(f"{schema}.{name}"), schemas.TABLES[name]))
 
 
 # Tables large enough to be read by several connections, with the column that splits them.
@@ -71,16 +85,15 @@ def from_jdbc(
     ``properties`` carries user, password and driver; the driver's jar must be on the classpath.
     """
 
-    def load(**options: str) -> DataFrame:
+    def read(**options: str) -> DataFrame:
         return spark.read.format("jdbc").options(url=url, **(properties or {}), **options).load()
 
-    tables = {}
-    for name, kind in schemas.TABLES.items():
+    def load(name: str) -> DataFrame:
         bounds = None
         if name in SPLIT_COLUMNS:
             column = SPLIT_COLUMNS[name]
-            query = f"SELECT min({column}) AS low, max({column}) AS high FROM {schema}.{name}"
-            row = load(query=query).first()
-            bounds = None if row["low"] is None else (int(row["low"]), int(row["high"]))
-        tables[name] = conform(load(**jdbc_options(name, schema, bounds, partitions)), kind)
-    return Tables(**tables)
+            row = read(query=f"SELECT min({column}) AS low, max({column}) AS high FROM {schema}.{name}").first()
+            bounds = None if row[0] is None else (int(row[0]), int(row[1]))
+        return conform(read(**jdbc_options(name, schema, bounds, partitions)), schemas.TABLES[name])
+
+    return Tables(spark, load)
