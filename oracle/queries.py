@@ -23,14 +23,15 @@ products AS (
 production_runs AS (
   SELECT o_orderkey AS run_id, l.plant_id, l.product_id, CAST(o_orderdate AS DATE) AS run_date,
          o_orderpriority AS shift, concat('Operator-', CAST(o_custkey % 80 + 1 AS VARCHAR)) AS operator,
-         l.actual_units + CAST(o_orderkey % 5 AS INT) * 10 AS planned_units, l.actual_units, l.defective_units,
+         l.actual_units + o_orderkey % 5 * 10 AS planned_units, l.actual_units, l.defective_units,
          CASE WHEN o_orderkey % 50 = 0 THEN CAST(0 AS DECIMAL(5,2)) WHEN o_orderkey % 97 = 0 THEN NULL
               ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) % 100 AS DECIMAL(5,2)) END AS efficiency_pct,
          CAST(o_orderkey % 181 AS INT) AS downtime_mins
   FROM orders LEFT JOIN (
     SELECT l_orderkey, min(l_suppkey) AS plant_id, min(l_partkey) AS product_id,
-           CAST(sum(CAST(l_quantity AS INT)) AS INT) AS actual_units,
-           CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) ELSE 0 END) AS INT) AS defective_units
+           CAST(sum(CAST(l_quantity AS INT)) AS BIGINT) AS actual_units,
+           CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) ELSE 0 END) AS BIGINT)
+             AS defective_units
     FROM lineitem GROUP BY l_orderkey) l ON o_orderkey = l.l_orderkey),
 quality_checks AS (
   SELECT l_orderkey * 10 + l_linenumber AS check_id, l_orderkey AS run_id, CAST(l_quantity AS INT) AS sample_size,

@@ -19,9 +19,9 @@ TABLES = {
         run_date=T.DateType(),
         shift=T.StringType(),
         operator=T.StringType(),
-        planned_units=T.IntegerType(),
-        actual_units=T.IntegerType(),
-        defective_units=T.IntegerType(),
+        planned_units=T.LongType(),
+        actual_units=T.LongType(),
+        defective_units=T.LongType(),
         efficiency_pct=PCT,
         downtime_mins=T.IntegerType(),
     ),
@@ -70,9 +70,9 @@ EXTRACT = _schema(
     run_date=T.DateType(),
     shift=T.StringType(),
     operator=T.StringType(),
-    planned_units=T.IntegerType(),
-    actual_units=T.IntegerType(),
-    defective_units=T.IntegerType(),
+    planned_units=T.LongType(),
+    actual_units=T.LongType(),
+    defective_units=T.LongType(),
     efficiency_pct=PCT,
     downtime_mins=T.IntegerType(),
     yield_pct=RATE,

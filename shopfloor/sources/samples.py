@@ -51,8 +51,8 @@ def _production_runs(read) -> DataFrame:
         .agg(
             F.min("l_suppkey").alias("plant_id"),
             F.min("l_partkey").alias("product_id"),
-            F.sum(quantity).cast("int").alias("actual_units"),
-            F.sum(F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)).cast("int").alias("defective_units"),
+            F.sum(quantity).alias("actual_units"),
+            F.sum(F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)).alias("defective_units"),
         )
     )
     key = F.col("o_orderkey")
@@ -71,7 +71,7 @@ def _production_runs(read) -> DataFrame:
             F.col("o_orderdate").cast("date").alias("run_date"),
             F.col("o_orderpriority").alias("shift"),
             F.concat(F.lit("Operator-"), (F.col("o_custkey") % 80 + 1).cast("string")).alias("operator"),
-            (F.col("actual_units") + (key % 5).cast("int") * 10).alias("planned_units"),
+            (F.col("actual_units") + (key % 5) * 10).alias("planned_units"),
             "actual_units",
             "defective_units",
             efficiency.alias("efficiency_pct"),

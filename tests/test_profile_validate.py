@@ -1,0 +1,92 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from frames import AS_OF, PLANTS, RUNS, d, day, keyed, tables
+from shopfloor.plans import extract, profile, validate
+from shopfloor.schemas import EXTRACT
+
+
+@pytest.fixture(scope="module")
+def made(spark):
+    return extract.run_extract(tables(spark), AS_OF, ordered=False).cache()
+
+
+def test_profile(made):
+    row = profile.extract_profile(made).first()
+    assert (row.row_count, row.column_count, row.plants, row.product_categories) == (6, 34, 2, 2)
+    assert (row.first_run_date, row.last_run_date) == (day(1), day(4))
+    assert row.avg_efficiency_pct == d("54.0")  # 270.11 / 5, the unknown one left out
+
+
+def test_profile_of_text_dates_and_of_nothing(made):
+    text = made.withColumn("run_date", F.when(F.col("run_id") == 5, "no date").otherwise(F.col("run_date").cast("string")))
+    assert profile.extract_profile(text).first().last_run_date == day(3)
+    empty = profile.extract_profile(made.limit(0)).first()
+    assert empty.row_count == 0 and empty.avg_efficiency_pct is None
+
+
+def test_null_report(made):
+    rows = keyed(profile.null_report(made), "column")
+    assert "run_id" not in rows and "plant_name" not in rows
+    assert (rows["yield_pct"]["nulls"], rows["yield_pct"]["null_pct"]) == (2, d("33.3"))
+    assert rows["total_checks"]["nulls"] == 3 and rows["total_checks"]["null_pct"] == d("50.0")
+
+
+def test_quality_flags(made):
+    row = profile.quality_flags(made).first()
+    assert (row.zero_efficiency_rows, row.high_defect_rate_rows) == (1, 1)
+
+
+def test_completeness(spark, made):
+    rows = {r.metric: r.runs for r in validate.completeness(tables(spark), made).collect()}
+    assert rows == {
+        "source_runs": 12, "active_runs": 6, "unknown_plant": 2, "unknown_product": 1,
+        "inactive_plant": 2, "inactive_product": 1, "expected_rows": 6, "extract_rows": 6,
+    }
+
+
+def test_completeness_and_fan_out_show_duplicate_dimension_keys(spark):
+    doubled = tables(spark, plants=PLANTS + [PLANTS[1]])
+    out = extract.run_extract(doubled, AS_OF, ordered=False)
+    rows = {r.metric: r.runs for r in validate.completeness(doubled, out).collect()}
+    assert (rows["active_runs"], rows["expected_rows"], rows["extract_rows"]) == (6, 8, 8)
+    found = keyed(validate.fan_out(doubled, out), "relation")
+    assert found["plants"]["repeated_keys"] == 1
+    assert (found["extract"]["row_count"], found["extract"]["distinct_keys"]) == (8, 6)
+    assert found["extract"]["repeated_keys"] == 2 and found["products"]["repeated_keys"] == 0
+
+
+def test_null_rates(spark):
+    rows = keyed(validate.null_rates(tables(spark).production_runs), "column")
+    assert rows["run_id"]["within_limit"] and not rows["efficiency_pct"]["within_limit"]
+    assert rows["plant_id"]["null_pct"] == d("8.33")
+    runs = [(i, 10 if i else None, *RUNS[0][2:]) for i in range(50)]
+    edge = keyed(validate.null_rates(tables(spark, production_runs=runs).production_runs), "column")
+    assert edge["plant_id"]["null_pct"] == d("2.00") and edge["plant_id"]["within_limit"]
+
+
+def test_schema_differences(made):
+    assert validate.schema_differences(made) == []
+    changed = made.drop("shift").withColumn("extra", F.lit(1)).withColumn("run_id", F.col("run_id").cast("int"))
+    assert validate.schema_differences(changed) == [
+        "missing: shift", "unexpected: extra", "run_id: int instead of bigint",
+    ]
+
+
+def test_dtype_check(spark):
+    names = EXTRACT.fieldNames()
+    good = {"run_id": "1", "run_date": "2024-01-31", "efficiency_pct": "12.34"}
+    bad = {"run_id": "x", "run_date": "31.01.2024", "efficiency_pct": "12345.6"}
+    rows = [tuple(values.get(n) for n in names) for values in (good, bad)]
+    text = spark.createDataFrame(rows, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    found = keyed(validate.dtype_check(text), "column")
+    for name in good:
+        assert (found[name]["filled"], found[name]["unreadable"]) == (2, 1)
+    assert (found["shift"]["filled"], found["shift"]["unreadable"]) == (0, 0)
+    assert found["efficiency_pct"]["expected_type"] == "decimal(5,2)"
+
+
+def test_defect_coverage(made):
+    row = validate.defect_coverage(made).first()
+    assert (row.row_count, row.with_defect_rate, row.coverage_pct, row.sufficient) == (6, 2, d("33.33"), False)
