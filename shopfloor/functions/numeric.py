@@ -19,22 +19,27 @@ def _quotient(num: Column, den: Column, factor: Column, two: Column) -> Column:
 
 
 def _shift(units: Column, places: int) -> Column:
-    unit = F.lit(Decimal(1).scaleb(-places)) if places else F.lit(Decimal(1))
-    return (units.cast("decimal(20,0)") * unit).cast(f"decimal(20,{places})")
+    # At most 18 digits, which Spark keeps in 8 bytes.
+    return (units.cast("decimal(18,0)") * F.lit(Decimal(1).scaleb(-places))).cast(f"decimal(18,{places})")
 
 
-def ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> Column:
-    """Half-up ``num / den`` of aggregates; NULL where ``den`` is 0 or either side is NULL."""
+def row_ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> Column:
+    """Half-up ``num / den`` of whole numbers of single rows; NULL where ``den`` is 0 or either side is NULL."""
     scale = 10**places * (100 if percent else 1)
-    num, den = num.cast("decimal(28,2)"), den.cast("decimal(28,2)")
-    return _shift(_quotient(num, den, F.lit(Decimal(2 * scale)), F.lit(Decimal(2))), places)
+    return _shift(_quotient(num.cast("bigint"), den.cast("bigint"), F.lit(2 * scale), F.lit(2)), places)
 
 
-def row_ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> Column:
-    """``ratio`` for int columns of single rows: stays in 64-bit arithmetic."""
+# Whole numbers below this bound can be multiplied by any scale used here within 64 bits.
+_SAFE = 10**12
+
+
+def ratio(num: Column, den: Column, places: int = 2, percent: bool = False) -> Column:
+    """``row_ratio`` for sums of any size: beyond 64-bit arithmetic it goes on in wide decimals."""
     scale = 10**places * (100 if percent else 1)
-    num, den = num.cast("bigint"), den.cast("bigint")
-    return _shift(_quotient(num, den, F.lit(2 * scale), F.lit(2)), places)
+    wide_num, wide_den = num.cast("decimal(28,0)"), den.cast("decimal(28,0)")
+    wide = _shift(_quotient(wide_num, wide_den, F.lit(Decimal(2 * scale)), F.lit(Decimal(2))), places)
+    safe = num.between(-_SAFE, _SAFE) & den.between(-_SAFE, _SAFE)
+    return F.when(safe, row_ratio(num, den, places, percent)).otherwise(wide)
 
 
 def percent(num: Column, den: Column, places: int = 2) -> Column:
@@ -53,13 +58,19 @@ def percent_half_even(num: Column, den: Column, places: int = 1) -> Column:
 
 
 def hundredths(value: Column) -> Column:
-    """A two-place decimal as a whole number of hundredths, for overflow-free long sums.
+    """A two-place decimal as a whole number of hundredths."""
+    return (value * F.lit(Decimal(100))).cast("bigint")
+
 
-    ``sum(decimal(5,2))`` is a decimal(15,2), which fails beyond some 10^11 rows.
+def sum_of_hundredths(pct: Column) -> Column:
+    """Sum of a decimal(5,2) in hundredths.
+
+    Added up as decimal(18,2), which takes 8 bytes and holds 10^14 values; the decimal(15,2) that
+    ``sum`` would choose by itself fails after some 10^11.
     """
-    return (value * F.lit(Decimal(100))).cast("bigint")
+    return hundredths(F.sum(pct.cast("decimal(8,2)")))
 
 
 def mean_of_hundredths(total: Column, count: Column, places: int = 2) -> Column:
     """Half-up mean from a sum of ``hundredths`` and the count of non-null values."""
-    return ratio(total, count.cast("decimal(26,0)") * F.lit(Decimal(100)), places)
+    return ratio(total, count * 100, places)

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopfloor.functions.numeric import hundredths, mean_of_hundredths, percent, ratio, row_ratio
+from shopfloor.functions.numeric import hundredths, mean_of_hundredths, ratio, row_ratio, sum_of_hundredths
 from shopfloor.functions.ordering import pg_asc
 from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
 from shopfloor.operators.ranking import count_cells, rank_cells
@@ -69,7 +69,7 @@ def maintenance_vs_quality(extract: DataFrame) -> DataFrame:
         extract.groupBy(first_day.alias("from_day"))
         .agg(
             F.count(F.lit(1)).alias("runs"),
-            F.sum(hundredths(F.col("efficiency_pct"))).alias("e"),
+            sum_of_hundredths(F.col("efficiency_pct")).alias("e"),
             F.count("efficiency_pct").alias("en"),
             F.sum(hundredths(F.col("defect_rate_pct"))).alias("d"),
             F.count("defect_rate_pct").alias("dn"),
@@ -197,7 +197,7 @@ def top_run_conditions(tables: Tables, rank: int = TOP_RANK, limits: JoinLimits
         attach(runs, materialize(cutoffs, "cutoffs"), ["plant_id"], limits=limits)
         .filter(F.col("efficiency_pct") >= F.col("cutoff"))
         .groupBy("plant_id", "shift", "product_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(hundredths(F.col("efficiency_pct"))).alias("e"))
+        .agg(F.count(F.lit(1)).alias("n"), sum_of_hundredths(F.col("efficiency_pct")).alias("e"))
     )
     status = latest_equipment(tables.equipment).select("plant_id", "equipment_status")
     return (

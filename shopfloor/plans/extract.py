@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.numeric import percent, row_ratio
 from shopfloor.functions.ordering import newest_first, pg_asc, pg_desc
-from shopfloor.operators.grouping import MAX_LABELS, few_labels, first_mode, latest_per_group
+from shopfloor.operators.grouping import (
+    MAX_LABELS,
+    first_mode,
+    label_counters,
+    latest_per_group,
+    most_counted,
+    short_label_lists,
+)
 from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
 from shopfloor.schemas import EXTRACT
 from shopfloor.sources.tables import Tables
@@ -20,11 +27,12 @@ LABELS = ["defect_type", "severity"]
 def quality_rollup(checks: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """Checks added up per run, with the most frequent defect type and severity.
 
-    ``mode`` does it in one shuffle, holding the distinct labels of a run in memory. That is used
-    only after a check that there are few of them; otherwise they are counted as rows.
+    Where the lists of labels are short, as a first job finds out, each label gets a counter and
+    one hash aggregate does it all. Otherwise the labels are counted as rows. Either way a run of
+    any size is combined on the map side and no task holds all its labels, as ``mode`` would.
     """
-    few = few_labels(checks, LABELS, max_labels)
-    sums = _rollup_by_mode(checks) if few else _rollup_by_counts(checks)
+    labels = short_label_lists(checks, LABELS, max_labels)
+    sums = _rollup_by_rows(checks) if labels is None else _rollup_by_counters(checks, labels)
     return sums.select(
         "run_id",
         "total_checks",
@@ -37,19 +45,21 @@ def quality_rollup(checks: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame
     )
 
 
-def _rollup_by_mode(checks: DataFrame) -> DataFrame:
-    return checks.groupBy("run_id").agg(
-        F.count("check_id").alias("total_checks"),
-        F.sum("sample_size").alias("total_sampled"),
-        F.sum("passed").alias("total_passed"),
-        F.sum("failed").alias("total_failed"),
-        # Deterministic: the smallest of equally frequent labels.
-        F.mode("defect_type", True).alias("primary_defect_type"),
-        F.mode("severity", True).alias("primary_severity"),
+def _rollup_by_counters(checks: DataFrame, labels: dict[str, list]) -> DataFrame:
+    return (
+        checks.groupBy("run_id")
+        .agg(
+            F.count("check_id").alias("total_checks"),
+            F.sum("sample_size").alias("total_sampled"),
+            F.sum("passed").alias("total_passed"),
+            F.sum("failed").alias("total_failed"),
+            *[counter for column in LABELS for counter in label_counters(column, labels[column])],
+        )
+        .withColumns({f"primary_{column}": most_counted(column, labels[column]) for column in LABELS})
     )
 
 
-def _rollup_by_counts(checks: DataFrame) -> DataFrame:
+def _rollup_by_rows(checks: DataFrame) -> DataFrame:
     """Each check counts once under its defect type and once under its severity.
 
     The counts are combined on the map side, so that no task holds the labels of a whole run.

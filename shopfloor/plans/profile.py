@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopfloor.functions.numeric import hundredths, mean_of_hundredths, percent_half_even
+from shopfloor.functions.numeric import mean_of_hundredths, percent_half_even, sum_of_hundredths
 
 HIGH_DEFECT_RATE = 20
 
@@ -25,7 +25,7 @@ def extract_profile(extract: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.min(as_date(extract, "run_date")).alias("first_date"),
         F.max(as_date(extract, "run_date")).alias("last_date"),
-        F.sum(hundredths(F.col("efficiency_pct"))).alias("efficiency"),
+        sum_of_hundredths(F.col("efficiency_pct")).alias("efficiency"),
         F.count("efficiency_pct").alias("efficiency_n"),
     )
     return parts.agg(

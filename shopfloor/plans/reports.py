@@ -7,7 +7,7 @@ grouped again afterwards has one row per id, whatever the share of the hottest i
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopfloor.functions.numeric import hundredths, mean_of_hundredths, percent, ratio
+from shopfloor.functions.numeric import mean_of_hundredths, percent, ratio, sum_of_hundredths
 from shopfloor.functions.ordering import pg_asc, pg_desc
 from shopfloor.sources.tables import Tables
 
@@ -16,7 +16,7 @@ PARTS = {
     "total_runs": lambda: F.count("run_id"),
     "units": lambda: F.sum("actual_units"),
     "defects": lambda: F.sum("defective_units"),
-    "efficiency": lambda: F.sum(hundredths(F.col("efficiency_pct"))),
+    "efficiency": lambda: sum_of_hundredths(F.col("efficiency_pct")),
     "efficiency_n": lambda: F.count("efficiency_pct"),
     "downtime": lambda: F.sum("downtime_mins"),
     "downtime_n": lambda: F.count("downtime_mins"),

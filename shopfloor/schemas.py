@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 PCT = T.DecimalType(5, 2)
 MONEY = T.DecimalType(12, 2)
-RATE = T.DecimalType(20, 2)
+RATE = T.DecimalType(18, 2)
 
 
 def _schema(**fields: T.DataType) -> T.StructType:

@@ -55,8 +55,9 @@ def from_catalog(spark: SparkSession, schema: str = "manufacturing") -> Tables:
     return Tables(spark, lambda name: conform(spark.table(f"{schema}.{name}"), schemas.TABLES[name]))
 
 
-# Tables large enough to be read by several connections, with the column that splits them.
-SPLIT_COLUMNS = {"production_runs": "run_id", "quality_checks": "run_id"}
+# Tables large enough to be read by several connections, with the key that splits them. Checks are
+# split by their own id: one run may hold a large part of them.
+SPLIT_COLUMNS = {"production_runs": "run_id", "quality_checks": "check_id"}
 
 
 def jdbc_options(table: str, schema: str, bounds: tuple[int, int] | None, partitions: int) -> dict[str, str]:
@@ -80,7 +81,7 @@ def from_jdbc(
     partitions: int = 64,
     properties: dict[str, str] | None = None,
 ) -> Tables:
-    """Read from a database; the two large tables in ``partitions`` ranges of ``run_id``.
+    """Read from a database; the two large tables in ``partitions`` ranges of their key.
 
     ``properties`` carries user, password and driver; the driver's jar must be on the classpath.
     """

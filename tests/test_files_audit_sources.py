@@ -156,6 +156,7 @@ def test_jdbc_options():
     runs = jdbc_options("production_runs", "manufacturing", (1, 1000), 16)
     assert runs["dbtable"] == "manufacturing.production_runs"
     assert (runs["partitionColumn"], runs["lowerBound"], runs["upperBound"], runs["numPartitions"]) == ("run_id", "1", "1001", "16")
+    assert jdbc_options("quality_checks", "manufacturing", (1, 9), 4)["partitionColumn"] == "check_id"
     assert "partitionColumn" not in jdbc_options("plants", "manufacturing", None, 16)
     assert "partitionColumn" not in jdbc_options("production_runs", "manufacturing", None, 16)
 
