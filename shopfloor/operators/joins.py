@@ -3,10 +3,12 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopfloor.storage import materialize
+
 
 @dataclass(frozen=True)
 class JoinLimits:
@@ -22,21 +24,44 @@ class JoinLimits:
 DEFAULT_LIMITS = JoinLimits()
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and bytes of a flat table, counted by one aggregate."""
+def _size_aggregates(df: DataFrame) -> list[Column]:
     width = F.lit(0)
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + F.lit(8)
         else:
             width = width + F.lit(16)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
-    return row["n"], row["b"] or 0
+    return [F.count(F.lit(1)).alias("rows"), F.sum(width.cast("bigint")).alias("bytes")]
+
 
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a flat table, counted by one aggregate."""
+    row = df.agg(*_size_aggregates(df)).first()
+    return row["rows"], row["bytes"] or 0
 
-def fits_broadcast(df: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> bool:
-    rows, size = measured_size(df)
-    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
+
+@dataclass(frozen=True)
+class Measured:
+    """A table and its size in rows and bytes."""
+
+    df: DataFrame
+    rows: int
+    bytes: int
+
+    def fits(self, limits: JoinLimits) -> bool:
+        return self.rows <= limits.broadcast_rows and self.bytes <= limits.broadcast_bytes
+
+
+def measure(df: DataFrame) -> Measured:
+    return Measured(df, *measured_size(df))
+
+
+def materialize_measured(df: DataFrame, label: str) -> Measured:
+    """Write an expensive lookup once, measuring it on the way."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *_size_aggregates(df)), label)
+    found = seen.get
+    return Measured(written, found.get("rows") or 0, found.get("bytes") or 0)
 
 
 def _match(left: Sequence[str], right: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -54,7 +79,7 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> tuple[DataFram
 
 def attach(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: DataFrame | Measured,
     keys: Sequence[str],
     how: str = "inner",
     spread: str = "run_id",
@@ -69,13 +94,14 @@ def attach(
     those keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in
     ``keys_from``, a cheaper table with the same keys, if ``facts`` is itself the result of joins.
     """
-    if fits_broadcast(lookup, limits):
-        lookup, right = _prefixed(lookup, keys, "_r_")
-        joined = facts.join(F.broadcast(lookup), _match(keys, right, null_safe), how)
-        return joined.drop(*right)
+    measured = lookup if isinstance(lookup, Measured) else measure(lookup)
+    if measured.fits(limits):
+        renamed, right = _prefixed(measured.df, keys, "_r_")
+        return facts.join(F.broadcast(renamed), _match(keys, right, null_safe), how).drop(*right)
     counted = facts if keys_from is None else keys_from
-    hot = _hot_keys(counted, keys, limits)
-    return _sliced_join(facts, lookup, hot, keys, how, spread, null_safe)
+    # Used on both sides, which must agree on it; written once.
+    hot = materialize(_hot_keys(counted, keys, limits), "hot-keys")
+    return _sliced_join(facts, measured.df, hot, keys, how, spread, null_safe)
 
 
 def _hot_keys(counted: DataFrame, keys: Sequence[str], limits: JoinLimits) -> DataFrame:

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.numeric import hundredths, mean_of_hundredths, ratio, row_ratio, sum_of_hundredths
 from shopfloor.functions.ordering import pg_asc
-from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
+from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach, materialize_measured
 from shopfloor.operators.ranking import count_cells, rank_cells
 from shopfloor.plans.extract import latest_equipment
 from shopfloor.plans.reports import add_parts, average_efficiency, defect_rate, pass_rate_by_category, run_parts
 from shopfloor.sources.tables import Tables
-from shopfloor.storage import materialize
 
 TOP_RANK = 10
 MAINTENANCE_STEP = 30
@@ -194,7 +193,7 @@ def top_run_conditions(tables: Tables, rank: int = TOP_RANK, limits: JoinLimits
         .join(tables.plants.select("plant_id"), "plant_id")
     )
     best = (
-        attach(runs, materialize(cutoffs, "cutoffs"), ["plant_id"], limits=limits)
+        attach(runs, materialize_measured(cutoffs, "cutoffs"), ["plant_id"], limits=limits)
         .filter(F.col("efficiency_pct") >= F.col("cutoff"))
         .groupBy("plant_id", "shift", "product_id")
         .agg(F.count(F.lit(1)).alias("n"), sum_of_hundredths(F.col("efficiency_pct")).alias("e"))

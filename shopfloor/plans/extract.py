@@ -15,7 +15,7 @@ from shopfloor.operators.grouping import (
     most_counted,
     short_label_lists,
 )
-from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
+from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach, materialize_measured
 from shopfloor.schemas import EXTRACT
 from shopfloor.sources.tables import Tables
 from shopfloor.storage import materialize
@@ -151,7 +151,7 @@ def keyed_extract(
         "yield_pct", row_ratio(F.col("actual_units"), F.col("planned_units"), percent=True)
     )
     with_checks = runs.join(quality_rollup(tables.quality_checks), "run_id", "left")
-    context = materialize(_plant_context(tables, as_of), "plant-context")
+    context = materialize_measured(_plant_context(tables, as_of), "plant-context")
     with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs)
     joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs)
     return joined.select(*EXTRACT.fieldNames(), "plant_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions.ordering import pg_asc
-from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
+from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach, materialize_measured
 from shopfloor.operators.ranking import count_cells, rank_cells
 from shopfloor.sources.tables import Tables
 from shopfloor.storage import materialize
@@ -61,7 +61,7 @@ def _runs(tables: Tables) -> DataFrame:
 
 def efficiency_rank(tables: Tables, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Every run with both ranks; two passes over the runs and no sort of them."""
-    cells = materialize(ranked_cells(tables), "efficiency-ranks")
+    cells = materialize_measured(ranked_cells(tables), "efficiency-ranks")
     return _columns(attach(_runs(tables), cells, KEYS, null_safe=["efficiency_pct"], limits=limits))
 
 

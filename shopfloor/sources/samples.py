@@ -4,9 +4,11 @@ Each derived table is a plain DataFrame over the parquet files, so its size foll
 """
 
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shopfloor.sources.tables import Tables
 
@@ -128,5 +130,15 @@ _DERIVED = {
 }
 
 
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Looked up in a file once per session; every further read of it then starts without a job."""
+    return spark.read.parquet(path).schema
+
+
 def from_samples(spark: SparkSession, folder: str) -> Tables:
-    return Tables(spark, lambda name: _DERIVED[name](lambda file: spark.read.parquet(f"{folder}/{file}.parquet")))
+    def read(name: str) -> DataFrame:
+        path = f"{folder}/{name}.parquet"
+        return spark.read.schema(_schema(spark, path)).parquet(path)
+
+    return Tables(spark, lambda name: _DERIVED[name](read))

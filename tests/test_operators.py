@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from frames import PLANTS, d, tables
 from shopfloor.functions.ordering import pg_desc
-from shopfloor.operators.joins import JoinLimits, attach, fits_broadcast, measured_size
+from shopfloor.operators.joins import JoinLimits, attach, materialize_measured, measure, measured_size
 from shopfloor.operators.ranking import count_cells
 from shopfloor.plans import rankings
 
@@ -60,7 +60,10 @@ def test_measured_size(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "a bigint, b string")
     assert measured_size(df) == (2, 2 * 16 + 2 * 8 + 2)
     assert measured_size(df.limit(0)) == (0, 0)
-    assert fits_broadcast(df) and not fits_broadcast(df, JoinLimits(broadcast_rows=1))
+    assert measure(df).fits(JoinLimits()) and not measure(df).fits(JoinLimits(broadcast_rows=1))
+    for frame in (df, df.limit(0), df.filter("a > 5")):
+        written = materialize_measured(frame, "test")
+        assert (written.rows, written.bytes) == measured_size(frame)
 
 
 def plain_ranks(t):
