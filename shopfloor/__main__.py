@@ -1,6 +1,6 @@
 """The whole extraction as one Spark job: counts, reports, join preview, rankings, extract, audit.
 
-    spark-submit --py-files ... -m shopfloor --parquet <folder> --out <folder>
+    python -m shopfloor --parquet <folder> --out <folder>
 """
 
 import argparse

@@ -82,7 +82,6 @@ def attach(
     lookup: DataFrame | Measured,
     keys: Sequence[str],
     how: str = "inner",
-    spread: str = "run_id",
     null_safe: Sequence[str] = (),
     limits: JoinLimits = DEFAULT_LIMITS,
     keys_from: DataFrame | None = None,
@@ -90,8 +89,8 @@ def attach(
     """Inner or left join of ``facts`` with ``lookup`` on equally named ``keys``.
 
     A lookup whose measured size is within bounds is broadcast. Otherwise both sides are shuffled,
-    with the rows of hot keys spread over slices by a hash of ``spread`` and the lookup rows of
-    those keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in
+    with the rows of hot keys spread over slices by a hash of the row and the lookup rows of those
+    keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in
     ``keys_from``, a cheaper table with the same keys, if ``facts`` is itself the result of joins.
     """
     measured = lookup if isinstance(lookup, Measured) else measure(lookup)
@@ -101,7 +100,7 @@ def attach(
     counted = facts if keys_from is None else keys_from
     # Used on both sides, which must agree on it; written once.
     hot = materialize(_hot_keys(counted, keys, limits), "hot-keys")
-    return _sliced_join(facts, measured.df, hot, keys, how, spread, null_safe)
+    return _sliced_join(facts, measured.df, hot, keys, how, null_safe)
 
 
 def _hot_keys(counted: DataFrame, keys: Sequence[str], limits: JoinLimits) -> DataFrame:
@@ -123,7 +122,6 @@ def _sliced_join(
     hot: DataFrame,
     keys: Sequence[str],
     how: str,
-    spread: str,
     null_safe: Sequence[str],
 ) -> DataFrame:
     # NULL may be the hottest key, so the hot keys are matched null-safe.
@@ -132,9 +130,10 @@ def _sliced_join(
     on_hot = _match(keys, hot_names, keys)
 
     # The slice must be a function of the row: a retried task has to send it to the same place.
+    slice_of_row = F.pmod(F.xxhash64(*facts.columns), F.col("_slices"))
     facts = (
         facts.join(hot, on_hot, "left")
-        .withColumn("_slice", F.coalesce(F.pmod(F.xxhash64(spread), "_slices"), F.lit(0)))
+        .withColumn("_slice", F.when(F.col("_slices").isNotNull(), slice_of_row).otherwise(F.lit(0).cast("bigint")))
         .drop("_slices", *hot_names)
     )
     lookup = (
