@@ -32,7 +32,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{2,}")
 _NAME_PARTS = re.compile(r"[^a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
