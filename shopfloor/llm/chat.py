@@ -65,8 +65,10 @@ def fold(events: DataFrame) -> DataFrame:
     )
     earlier = Window.partitionBy("conv_id").orderBy("message").rangeBetween(Window.unboundedPreceding, -1)
     own = Window.partitionBy("conv_id", "message")
+    in_order = own.orderBy("seq", "role").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     standing = (
         rows.withColumn("dropped_until", F.max(F.when(F.col("kind") == REGENERATE, F.col("seq"))).over(earlier))
+        .withColumn("role", F.first("role", ignorenulls=True).over(in_order))
         .withColumn("restart", F.max(F.when(replaces, F.col("seq"))).over(own))
         .filter("dropped_until IS NULL OR seq > dropped_until")
         .filter("restart IS NULL OR seq >= restart")
@@ -75,7 +77,7 @@ def fold(events: DataFrame) -> DataFrame:
     place = F.when(replaces, F.col("seq") * 2).otherwise(F.col("seq") * 2 + 1)
     said = F.array_sort(F.collect_list(F.struct(place.alias("place"), "kind", "text")))
     return standing.groupBy("conv_id", "message").agg(
-        F.coalesce(F.min_by(F.col("role"), F.when(F.col("role").isNotNull(), F.col("seq"))), F.lit("")).alias("role"),
+        F.coalesce(F.min("role"), F.lit("")).alias("role"),
         F.array_join(F.transform(said, lambda e: F.when(e["kind"] == REGENERATE, "").otherwise(e["text"])), "").alias("text"),
     )
 
