@@ -4,11 +4,12 @@ Texts with the same set are one class from the start, so a group of copies is on
 others, bands of minima give candidates; the low bits of all minima, packed, estimate the similarity
 corrected for chance agreement; what may reach the threshold is confirmed on the sets.
 
-As only the classes are wanted, a bucket need not give all its pairs. First every member is compared
-with one centre of its slice of the bucket, with other slices and centres in each band. Then, in
-buckets whose members are still of different classes, all pairs of different classes are compared by
-their packed bits inside the join, so that only those near the threshold leave it. Large buckets are
-split before that: two texts of one bucket must share a second band.
+As only the classes are wanted, a bucket need not give all its pairs. First, in a few bands, every
+member is compared with one centre of its slice of the bucket, which joins most of a large group.
+Then the same is done in all bands, with other slices and centres in each, for members whose class
+differs from the centre's. Last, in buckets whose members are still of different classes, all pairs
+of different classes are compared by their packed bits inside the join, so that only those near the
+threshold leave it. Large buckets are split before that: two texts must share a second band.
 """
 
 from collections.abc import Iterator
@@ -26,6 +27,8 @@ PERCENT = 75
 BANDS, ROWS = 24, 4
 BITS = 4
 SLICE = 256
+# Bands of the first round; a large group gives so many candidates a member, the later rounds few.
+FIRST_BANDS = 3
 # Buckets with more members of different classes than this are split by a second band.
 SPLIT_ABOVE = 512
 
@@ -140,15 +143,33 @@ def _members(classes: DataFrame) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame) -> DataFrame:
-    """Each member with the centre of its slice, and each centre with that of the bucket: (a, b), a < b."""
-    order = F.struct(F.xxhash64("member", "key").alias("order"), F.col("member"))
+    """Each member (key, member, label, size) with the centre of its slice, and each centre with that of the bucket.
+
+    Pairs (a, b) with a < b, of different labels.
+    """
+    order = F.struct(F.xxhash64("member", "key").alias("order"), "member", "label")
     slices = F.ceil(F.col("size") / F.lit(SLICE)).cast("bigint")
     dealt = members.withColumn("slice", F.pmod(F.xxhash64("key", "member"), slices))
-    centres = dealt.groupBy("key", "slice").agg(F.min(order)["member"].alias("centre"))
+    centres = dealt.groupBy("key", "slice").agg(F.min(order).alias("centre"))
     top = centres.groupBy("key").agg(F.min("centre").alias("top"))
-    to_centre = dealt.join(centres, ["key", "slice"]).select(F.col("member").alias("x"), F.col("centre").alias("y"))
-    to_top = centres.join(top, "key").select(F.col("centre").alias("x"), F.col("top").alias("y"))
-    return _ordered(to_centre.unionByName(to_top))
+    to_centre = dealt.join(centres, ["key", "slice"]).filter("label <> centre.label")
+    to_top = centres.join(top, "key").filter("centre.label <> top.label")
+    pairs = to_centre.select(F.col("member").alias("x"), F.col("centre.member").alias("y"))
+    return _ordered(pairs.unionByName(to_top.select(F.col("centre.member").alias("x"), F.col("top.member").alias("y"))))
+
+
+def _likely_pairs(pairs: DataFrame, bits: DataFrame, percent: int, hashes: int) -> DataFrame:
+    pairs = pairs.join(bits.select(F.col("member").alias("a"), F.col("bits").alias("left")), "a")
+    pairs = pairs.join(bits.select(F.col("member").alias("b"), F.col("bits").alias("right")), "b")
+    return pairs.filter(likely(F.col("left"), F.col("right"), percent, hashes)).select("a", "b")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold different labels: (key, band, member, label, size)."""
+    labelled = members.drop("size").join(labels, "member", "left").withColumn("label", F.coalesce("label", "member"))
+    labelled = checkpointed(labelled)
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
+    return labelled.join(mixed.filter("low <> high").select("key", "size"), "key")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -163,12 +184,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(F.col("common") * 100 >= percent * (F.size("left") + F.size("right") - F.col("common"))).select("a", "b")
 
 
-def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, hashes: int, bands: int) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, percent: int, hashes: int) -> DataFrame:
     """Likely pairs of members of one bucket that are in different classes so far."""
-    labelled = members.join(labels, "member")
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
-    mixed = mixed.filter("low <> high").select("key", "size")
-    open_ = labelled.drop("size").join(mixed, "key").join(classes.select("member", "bits", "bands"), "member")
+    open_ = members.join(classes.select("member", "bits", "bands"), "member")
     small = open_.filter(F.col("size") <= SPLIT_ABOVE).select("key", F.lit(0).alias("second"), "member", "label", "bits")
     # Two texts that are near share more than one band; which ones, the split tries them all.
     large = open_.filter(F.col("size") > SPLIT_ABOVE)
@@ -236,18 +254,16 @@ def near_duplicates(
     sets = checkpointed(shingle_sets(own.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
     bits = classes.select("member", "bits")
 
-    stars = _star_pairs(members)
-    stars = stars.join(bits.select(F.col("member").alias("a"), F.col("bits").alias("left")), "a")
-    stars = stars.join(bits.select(F.col("member").alias("b"), F.col("bits").alias("right")), "b")
-    stars = stars.filter(likely(F.col("left"), F.col("right"), percent, hashes)).select("a", "b")
-    links = checkpointed(_confirmed(stars, sets, percent))
-    labels = connected(links)
-    every = members.select("member").distinct().join(labels, "member", "left")
-    every = every.select("member", F.coalesce("label", "member").alias("label"))
-
-    more = _across(members, every, classes, percent, hashes, bands)
-    more = checkpointed(_confirmed(more, sets, percent))
-    final = connected(links.unionByName(more))
+    links = None
+    rounds = [
+        lambda: _star_pairs(members.filter(F.col("band") < FIRST_BANDS).withColumn("label", F.col("member"))),
+        lambda: _star_pairs(_open(members, final)),
+        lambda: _across(_open(members, final), classes, percent, hashes),
+    ]
+    for pairs in rounds:
+        found = checkpointed(_confirmed(_likely_pairs(pairs(), bits, percent, hashes), sets, percent))
+        links = found if links is None else links.unionByName(found)
+        final = connected(links)
 
     of_set = classes.select("set_hash", "member").join(final, "member", "left")
     of_set = of_set.select("set_hash", F.coalesce("label", "member").alias("label"))
