@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from shopfloor.audit import AuditedRunner
 from shopfloor.catalog import run_named
 from shopfloor.plans import extract, profile
-from shopfloor.sinks.files import EmptyExtract, read_extract_csv, save_extract
+from shopfloor.sinks.files import EmptyExtract, save_extract
 from shopfloor.sources.samples import from_samples
 from shopfloor.sources.tables import Tables, from_catalog, from_jdbc, from_parquet
+from shopfloor.storage import remove_made
 
 STEPS = {
     "Tables": ["table_row_counts"],
@@ -22,7 +23,13 @@ STEPS = {
     "Join preview": ["join_preview_10"],
     "Summary and rankings": ["plant_efficiency_short", "efficiency_rank_top20"],
 }
-SHOWN_ROWS = 50
+
+
+PROFILES = {
+    "extract_profile": profile.extract_profile,
+    "null_report": profile.null_report,
+    "quality_flags": profile.quality_flags,
+}
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -32,7 +39,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     source.add_argument("--schema", help="catalog schema holding the five tables")
     source.add_argument("--jdbc", help="database url; schema 'manufacturing'")
     source.add_argument("--samples", help="folder with the order/supplier/event sample files")
-    parser.add_argument("--out", required=True, help="folder for the extract as CSV, replaced if present")
+    parser.add_argument("--out", required=True, help="folder for extract, reports and audit; extract and reports are replaced")
+    parser.add_argument("--jdbc-partitions", type=int, default=64, help="ranges in which a large database table is read")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat, help="date for maintenance ages, default today")
     return parser.parse_args(argv)
 
@@ -43,14 +51,18 @@ def _tables(spark: SparkSession, arguments: argparse.Namespace) -> Tables:
     if arguments.schema:
         return from_catalog(spark, arguments.schema)
     if arguments.jdbc:
-        return from_jdbc(spark, arguments.jdbc)
+        return from_jdbc(spark, arguments.jdbc, partitions=arguments.jdbc_partitions)
     return from_samples(spark, arguments.samples)
 
 
-def _show(title: str, df: DataFrame | None) -> None:
-    print(f"\n{title}")
+def _report(name: str, df: DataFrame | None, out: str) -> None:
+    """The whole result as parquet under ``out/reports``, its first rows on the screen."""
+    print(f"\n{name}")
     if df is not None:
-        df.show(SHOWN_ROWS, truncate=False)
+        path = f"{out}/reports/{name}"
+        df.write.mode("overwrite").parquet(path)
+        df.show(truncate=False)
+        print(f"all rows: {path}")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -62,20 +74,24 @@ def main(argv: list[str] | None = None) -> int:
     for step, names in STEPS.items():
         print(f"\n== {step}")
         for name in names:
-            _show(name, runner.run(name, lambda name=name: run_named(name, tables)))
+            _report(name, runner.run(name, lambda name=name: run_named(name, tables)), arguments.out)
 
     print("\n== Extract")
-    try:
-        save_extract(extract.keyed_extract(tables, arguments.as_of), arguments.out)
-    except EmptyExtract as error:
-        print(error, file=sys.stderr)
-        return 1
-    saved = read_extract_csv(spark, arguments.out)
-    _show("Profile", profile.extract_profile(saved))
-    _show("Columns with missing values", profile.null_report(saved))
-    _show("Quality flags", profile.quality_flags(saved))
-    _show("Queries run", runner.history())
-    return 0
+    staged = runner.run("run_extract", lambda: extract.keyed_extract(tables, arguments.as_of))
+    empty = False
+    if staged is not None:
+        try:
+            save_extract(staged, f"{arguments.out}/extract")
+        except EmptyExtract as error:
+            print(error, file=sys.stderr)
+            empty = True
+        else:
+            for name, query in PROFILES.items():
+                _report(name, runner.run(name, lambda query=query: query(staged)), arguments.out)
+    runner.history().show(truncate=False)
+    runner.append_to(f"{arguments.out}/audit")
+    remove_made(spark)
+    return int(empty or runner.failed)
 
 
 if __name__ == "__main__":

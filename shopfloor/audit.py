@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from shopfloor.storage import materialize
 
-HISTORY = "sql_preview string, rows bigint, cols int, duration_ms double, status string"
-PREVIEW_CHARS, ERROR_CHARS = 80, 100
+RECORD = "query string, rows bigint, cols int, duration_ms double, status string, error string"
 
 
 def sql(spark: SparkSession, text: str, **params) -> DataFrame:
@@ -29,16 +28,18 @@ class AuditedRunner:
         self.raise_errors = raise_errors
         self._history: list[tuple] = []
 
-    def run(self, preview: str, build: Callable[[], DataFrame]) -> DataFrame | None:
+    def run(self, query: str, build: Callable[[], DataFrame]) -> DataFrame | None:
         started = time.perf_counter()
         try:
             df = build()
             seen = Observation()
-            result = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), "result")
-            self._record(preview, seen.get.get("rows", 0), len(df.columns), started, "success")
-            return result
+            # The place keeps the order of the result, which files don't.
+            placed = df.withColumn("_place", F.monotonically_increasing_id())
+            result = materialize(placed.observe(seen, F.count(F.lit(1)).alias("rows")), "result")
+            self._record(query, seen.get.get("rows", 0), len(df.columns), started)
+            return result.orderBy("_place").drop("_place")
         except Exception as error:
-            self._record(preview, 0, 0, started, f"error: {str(error)[:ERROR_CHARS]}")
+            self._record(query, 0, 0, started, str(error))
             if self.raise_errors:
                 raise
             return None
@@ -46,10 +47,23 @@ class AuditedRunner:
     def run_sql(self, text: str, **params) -> DataFrame | None:
         return self.run(text, lambda: sql(self.spark, text, **params))
 
-    def _record(self, preview: str, rows: int, cols: int, started: float, status: str) -> None:
-        elapsed = round((time.perf_counter() - started) * 1000, 1)
-        self._history.append((preview[:PREVIEW_CHARS].strip(), rows, cols, elapsed, status))
+    def _record(self, query: str, rows: int, cols: int, started: float, error: str | None = None) -> None:
+        elapsed = (time.perf_counter() - started) * 1000
+        self._history.append((query.strip(), rows, cols, elapsed, "success" if error is None else "error", error))
+
+    @property
+    def failed(self) -> bool:
+        return any(row[4] == "error" for row in self._history)
+
+    def records(self) -> DataFrame:
+        """One row per query run so far, with its whole text and message; grows with the calls only."""
+        return self.spark.createDataFrame(self._history, RECORD)
 
     def history(self) -> DataFrame:
-        """One row per query run so far; small, as it grows with the calls and not with the data."""
-        return self.spark.createDataFrame(self._history, HISTORY)
+        """The five-field view of ``records``."""
+        status = F.concat_ws(": ", "status", "error").alias("status")
+        return self.records().select(F.col("query").alias("sql_preview"), "rows", "cols", "duration_ms", status)
+
+    def append_to(self, path: str) -> None:
+        """Add the records of this run to the parquet table at ``path``."""
+        self.records().write.mode("append").parquet(path)

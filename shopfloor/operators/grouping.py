@@ -16,37 +16,6 @@ def latest_per_group(df: DataFrame, group: str, order: Sequence[Column]) -> Data
     return df.withColumn("_place", F.row_number().over(window)).filter("_place = 1").drop("_place")
 
 
-MAX_LABELS = 32
-
-
-def short_label_lists(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS) -> dict[str, list] | None:
-    """The distinct non-null labels of each column in order, or None if some column has too many.
-
-    At most ``max_labels ** len(columns)`` combinations, and one more, come to the driver.
-    """
-    most = (max_labels + 1) ** len(columns)
-    rows = df.select(*columns).distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        return None
-    labels = {c: sorted({r[c] for r in rows} - {None}, key=lambda v: v.encode()) for c in columns}
-    return labels if all(len(found) <= max_labels for found in labels.values()) else None
-
-
-def label_counters(column: str, labels: Sequence[str]) -> list[Column]:
-    """Aggregates that count each label of a short list, in fixed-width buffers."""
-    return [F.count_if(F.col(column) == F.lit(v)).alias(f"_{column}_{i}") for i, v in enumerate(labels)]
-
-
-def most_counted(column: str, labels: Sequence[str]) -> Column:
-    """The label with the highest of ``label_counters``, the first in order if several have it."""
-    counters = [F.col(f"_{column}_{i}") for i in range(len(labels))]
-    highest = F.greatest(*counters, F.lit(0), F.lit(0))
-    choice = F.lit(None).cast("string")
-    for counter, label in reversed(list(zip(counters, labels))):
-        choice = F.when((counter == highest) & (highest > 0), F.lit(label)).otherwise(choice)
-    return choice
-
-
 def first_mode(kind: Column, wanted: str, value: Column, n: Column) -> Column:
     """Aggregate over (kind, value, count) rows: the most frequent non-null value, ties to the smallest."""
     candidate = F.when((kind == wanted) & value.isNotNull(), F.struct((-n).alias("n"), value.alias("v")))

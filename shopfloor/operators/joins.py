@@ -16,8 +16,7 @@ class JoinLimits:
 
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 1_000_000
-    # Keys outside the hottest ``hot_keys`` hold less than 1/hot_keys of the rows each.
-    hot_keys: int = 10_000
+    # A key with more rows is hot; there are at most rows / slice_rows of them.
     slice_rows: int = 1_000_000
 
 
@@ -61,7 +60,9 @@ def materialize_measured(df: DataFrame, label: str) -> Measured:
     seen = Observation()
     written = materialize(df.observe(seen, *_size_aggregates(df)), label)
     found = seen.get
-    return Measured(written, found.get("rows") or 0, found.get("bytes") or 0)
+    if "rows" not in found:
+        return measure(written)
+    return Measured(written, found["rows"], found["bytes"] or 0)
 
 
 def _match(left: Sequence[str], right: Sequence[str], null_safe: Sequence[str]) -> Column:
@@ -85,6 +86,7 @@ def attach(
     null_safe: Sequence[str] = (),
     limits: JoinLimits = DEFAULT_LIMITS,
     keys_from: DataFrame | None = None,
+    slice_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inner or left join of ``facts`` with ``lookup`` on equally named ``keys``.
 
@@ -92,6 +94,7 @@ def attach(
     with the rows of hot keys spread over slices by a hash of the row and the lookup rows of those
     keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in
     ``keys_from``, a cheaper table with the same keys, if ``facts`` is itself the result of joins.
+    ``slice_by`` names the columns whose hash deals the rows of a hot key out, by default all.
     """
     measured = lookup if isinstance(lookup, Measured) else measure(lookup)
     if measured.fits(limits):
@@ -100,17 +103,15 @@ def attach(
     counted = facts if keys_from is None else keys_from
     # Used on both sides, which must agree on it; written once.
     hot = materialize(_hot_keys(counted, keys, limits), "hot-keys")
-    return _sliced_join(facts, measured.df, hot, keys, how, null_safe)
+    return _sliced_join(facts, measured.df, hot, keys, how, null_safe, slice_by or facts.columns)
 
 
 def _hot_keys(counted: DataFrame, keys: Sequence[str], limits: JoinLimits) -> DataFrame:
-    """The hottest keys and into how many slices each is cut; at most ``hot_keys`` rows by construction."""
+    """All hot keys and into how many slices each is cut."""
     return (
         counted.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > limits.slice_rows)
-        .orderBy(F.col("_n").desc_nulls_last(), *keys)
-        .limit(limits.hot_keys)
         .withColumn("_slices", F.ceil(F.col("_n") / F.lit(limits.slice_rows)).cast("bigint"))
         .drop("_n")
     )
@@ -123,14 +124,15 @@ def _sliced_join(
     keys: Sequence[str],
     how: str,
     null_safe: Sequence[str],
+    slice_by: Sequence[str],
 ) -> DataFrame:
+    # The list is a written table: Spark broadcasts it if its files are small and shuffles it otherwise.
     # NULL may be the hottest key, so the hot keys are matched null-safe.
     hot, hot_names = _prefixed(hot, keys, "_h_")
-    hot = F.broadcast(hot)
     on_hot = _match(keys, hot_names, keys)
 
     # The slice must be a function of the row: a retried task has to send it to the same place.
-    slice_of_row = F.pmod(F.xxhash64(*facts.columns), F.col("_slices"))
+    slice_of_row = F.pmod(F.xxhash64(*slice_by), F.col("_slices"))
     facts = (
         facts.join(hot, on_hot, "left")
         .withColumn("_slice", F.when(F.col("_slices").isNotNull(), slice_of_row).otherwise(F.lit(0).cast("bigint")))

@@ -52,9 +52,9 @@ def _pearson(n: Column, x: Column, y: Column, xx: Column, yy: Column, xy: Column
 def _moments(x: Column, y: Column, name: str) -> list[Column]:
     """Sums over the rows where both whole numbers are present, wide enough for any row count."""
     both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x.cast("bigint")), F.when(both, y.cast("bigint"))
+    x, y = F.when(both, x.cast("decimal(18,0)")), F.when(both, y.cast("decimal(18,0)"))
     terms = {"n": both.cast("bigint"), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
-    return [F.sum(term.cast("decimal(18,0)")).alias(f"{name}_{k}") for k, term in terms.items()]
+    return [F.sum(term.cast("decimal(38,0)")).alias(f"{name}_{k}") for k, term in terms.items()]
 
 
 def _correlation(name: str) -> Column:
@@ -110,7 +110,7 @@ def category_vs_target(tables: Tables, targets: DataFrame) -> DataFrame:
     passed, checked = F.col("total_passed"), F.col("total_passed") + F.col("total_failed")
     return (
         pass_rate_by_category(tables)
-        .join(targets.select("product_category", "target_pct"), "product_category")
+        .join(targets.select("product_category", "target_pct"), "product_category", "left")
         .select(
             "product_category",
             "total_checks",
@@ -143,7 +143,7 @@ def downtime_vs_yield(tables: Tables) -> DataFrame:
             F.count(F.lit(1)).alias("runs"),
             F.count("y").alias("yn"),
             F.sum("y").alias("y"),
-            F.sum((F.col("y") * F.col("y")).cast("decimal(18,0)")).alias("yy"),
+            F.sum(F.col("y").cast("decimal(18,0)") * F.col("y").cast("decimal(18,0)")).alias("yy"),
         )
         .withColumn("counted", F.when(minutes.isNotNull(), F.col("runs")).otherwise(0))
     )

@@ -7,60 +7,21 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.numeric import percent, row_ratio
 from shopfloor.functions.ordering import newest_first, pg_asc, pg_desc
-from shopfloor.operators.grouping import (
-    MAX_LABELS,
-    first_mode,
-    label_counters,
-    latest_per_group,
-    most_counted,
-    short_label_lists,
-)
+from shopfloor.operators.grouping import first_mode, latest_per_group
 from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach, materialize_measured
 from shopfloor.schemas import EXTRACT
 from shopfloor.sources.tables import Tables
 from shopfloor.storage import materialize
 
 
-LABELS = ["defect_type", "severity"]
+# What tells the runs of a hot plant or product apart, few columns so that the others can be pruned.
+ROW = ["run_id", "run_date", "shift"]
 
 
-def quality_rollup(checks: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
+def quality_rollup(checks: DataFrame) -> DataFrame:
     """Checks added up per run, with the most frequent defect type and severity.
 
-    Where the lists of labels are short, as a first job finds out, each label gets a counter and
-    one hash aggregate does it all. Otherwise the labels are counted as rows. Either way a run of
-    any size is combined on the map side and no task holds all its labels, as ``mode`` would.
-    """
-    labels = short_label_lists(checks, LABELS, max_labels)
-    sums = _rollup_by_rows(checks) if labels is None else _rollup_by_counters(checks, labels)
-    return sums.select(
-        "run_id",
-        "total_checks",
-        "total_sampled",
-        "total_passed",
-        "total_failed",
-        percent(F.col("total_failed"), F.col("total_sampled")).alias("defect_rate_pct"),
-        "primary_defect_type",
-        "primary_severity",
-    )
-
-
-def _rollup_by_counters(checks: DataFrame, labels: dict[str, list]) -> DataFrame:
-    return (
-        checks.groupBy("run_id")
-        .agg(
-            F.count("check_id").alias("total_checks"),
-            F.sum("sample_size").alias("total_sampled"),
-            F.sum("passed").alias("total_passed"),
-            F.sum("failed").alias("total_failed"),
-            *[counter for column in LABELS for counter in label_counters(column, labels[column])],
-        )
-        .withColumns({f"primary_{column}": most_counted(column, labels[column]) for column in LABELS})
-    )
-
-
-def _rollup_by_rows(checks: DataFrame) -> DataFrame:
-    """Each check counts once under its defect type and once under its severity.
+Each check counts once under its defect type and once under its severity.
 
     The counts are combined on the map side, so that no task holds the labels of a whole run.
     """
@@ -81,7 +42,7 @@ def _rollup_by_rows(checks: DataFrame) -> DataFrame:
         F.sum("failed").alias("failed"),
     )
     kind, label, n = F.col("kind"), F.col("label"), F.col("n")
-    return per_label.groupBy("run_id").agg(
+    sums = per_label.groupBy("run_id").agg(
         F.sum("checks").alias("total_checks"),
         F.sum("sampled").alias("total_sampled"),
         F.sum("passed").alias("total_passed"),
@@ -89,6 +50,16 @@ def _rollup_by_rows(checks: DataFrame) -> DataFrame:
         first_mode(kind, "defect", label, n).alias("primary_defect_type"),
         first_mode(kind, "severity", label, n).alias("primary_severity"),
     )
+    return sums.select(
+        "run_id",
+        "total_checks",
+        "total_sampled",
+        "total_passed",
+        "total_failed",
+        percent(F.col("total_failed"), F.col("total_sampled")).alias("defect_rate_pct"),
+        "primary_defect_type",
+        "primary_severity",
+    )
 
 
 def as_of_date(as_of: datetime.date | None) -> Column:
@@ -152,8 +123,8 @@ def keyed_extract(
     )
     with_checks = runs.join(quality_rollup(tables.quality_checks), "run_id", "left")
     context = materialize_measured(_plant_context(tables, as_of), "plant-context")
-    with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs)
-    joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs)
+    with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs, slice_by=ROW)
+    joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs, slice_by=ROW)
     return joined.select(*EXTRACT.fieldNames(), "plant_id")
 
 

@@ -8,7 +8,10 @@ from shopfloor.schemas import EXTRACT
 from shopfloor.storage import materialize
 
 # Doubled quotes inside quoted fields, as other CSV readers expect them.
-CSV_FORMAT = {"header": "true", "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"', "dateFormat": "yyyy-MM-dd"}
+CSV_FORMAT = {"header": "true", "sep": ",", "encoding": "UTF-8", "quote": '"', "escape": '"', "dateFormat": "yyyy-MM-dd"} | {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 class EmptyExtract(ValueError):
@@ -33,16 +36,18 @@ def save_extract(extract: DataFrame, path: str, formats: tuple[str, ...] = ("csv
         (writer.options(**CSV_FORMAT) if kind == "csv" else writer).save(target)
 
 
-def read_extract_csv(spark: SparkSession, path: str, multiline: bool = False, schema: T.StructType = EXTRACT) -> DataFrame:
-    """The CSV form, typed. NULL and the empty string both come back as NULL; parquet keeps them apart.
+def read_extract_csv(spark: SparkSession, path: str, multiline: bool = True, schema: T.StructType = EXTRACT) -> DataFrame:
+    """The CSV form, typed; an empty field is NULL, a quoted empty one the empty string.
 
-    ``multiline`` allows line breaks inside fields, at the price of one task per file.
+    ``multiline`` allows line breaks inside fields, which the writer may produce, at the price of one
+    task per file; without it such a field fails the read.
     """
-    options = CSV_FORMAT | {"mode": "FAILFAST", "multiLine": str(multiline).lower()}
+    # No field holds this text, so that only unquoted empty fields become NULL.
+    options = CSV_FORMAT | {"nullValue": "\u0000", "mode": "FAILFAST", "multiLine": str(multiline).lower()}
     return spark.read.schema(schema).options(**options).csv(path)
 
 
-def read_extract_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_extract_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """The CSV form with every column as text, for type checks."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in EXTRACT.fieldNames()])
     return read_extract_csv(spark, path, multiline, text)

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +41,28 @@ class Tables:
         return [(name, getattr(self, name)) for name in schemas.TABLES]
 
 
+OPTIONAL = {"equipment_id"}
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Declared columns and types only; a missing column or an impossible cast fails at once."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Declared columns and types only; a missing column fails at once, a value that a cast would change when read.
+
+    ``equipment_id`` may be missing: the other columns then settle which machine comes first.
+    """
+    return df.select(*[_conformed(df, f) for f in schema.fields])
+
+
+def _conformed(df: DataFrame, field: T.StructField) -> Column:
+    if field.name in OPTIONAL and field.name not in df.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    column = F.col(field.name)
+    source = df.schema[field.name].dataType if field.name in df.columns else None
+    cast = column.cast(field.dataType)
+    finer = isinstance(source, T.DecimalType) and isinstance(field.dataType, T.DecimalType) and source.scale > field.dataType.scale
+    if finer or (isinstance(source, T.FractionalType) and isinstance(field.dataType, T.IntegralType)):
+        message = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), column.cast("string"))
+        cast = F.when(column.isNull() | (cast == column), cast).otherwise(F.raise_error(message))
+    return cast.alias(field.name)
 
 
 def from_parquet(spark: SparkSession, folder: str) -> Tables:
@@ -57,7 +76,7 @@ def from_catalog(spark: SparkSession, schema: str = "manufacturing") -> Tables:
 
 # Tables large enough to be read by several connections, with the key that splits them. Checks are
 # split by their own id: one run may hold a large part of them.
-SPLIT_COLUMNS = {"production_runs": "run_id", "quality_checks": "check_id"}
+SPLIT_COLUMNS = {"production_runs": "run_id", "quality_checks": "check_id", "equipment": "plant_id"}
 
 
 def jdbc_options(table: str, schema: str, bounds: tuple[int, int] | None, partitions: int) -> dict[str, str]:

@@ -6,6 +6,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,7 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/shopfloor/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/shopfloor/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_made(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process, when nothing will read them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

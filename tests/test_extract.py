@@ -5,12 +5,11 @@ from shopfloor.operators.joins import JoinLimits
 from shopfloor.plans import extract
 from shopfloor.schemas import EXTRACT
 
-SMALL = JoinLimits(broadcast_bytes=0, broadcast_rows=0, hot_keys=3, slice_rows=1)
+SMALL = JoinLimits(broadcast_bytes=0, broadcast_rows=0, slice_rows=1)
 
 
-@pytest.mark.parametrize("max_labels", [1000, -1])
-def test_rollup(spark, max_labels):
-    rows = keyed(extract.quality_rollup(tables(spark).quality_checks, max_labels), "run_id")
+def test_rollup(spark):
+    rows = keyed(extract.quality_rollup(tables(spark).quality_checks), "run_id")
     assert set(rows) == {1, 3, 5, 7, 555, None}
     assert rows[1] == {
         "run_id": 1, "total_checks": 3, "total_sampled": 30, "total_passed": 27, "total_failed": 3,
@@ -23,9 +22,8 @@ def test_rollup(spark, max_labels):
     assert rows[5]["defect_rate_pct"] == d("33.33")
 
 
-@pytest.mark.parametrize("max_labels", [1000, -1])
-def test_rollup_of_no_checks(spark, max_labels):
-    assert extract.quality_rollup(tables(spark).quality_checks.limit(0), max_labels).count() == 0
+def test_rollup_of_no_checks(spark):
+    assert extract.quality_rollup(tables(spark).quality_checks.limit(0)).count() == 0
 
 
 def test_latest_equipment(spark):
@@ -73,12 +71,11 @@ def test_one_hot_run_and_plant(spark):
     checks = [(i, 1 if i % 3 == 0 else i, 10, 9, 1, f"T{i % 7}", f"S{i % 2}") for i in range(900)]
     machines = [(i, 10 if i % 3 == 0 else i, f"M{i}", "t", "s", d("1.00"), day(1 + i % 28)) for i in range(900)]
     data = tables(spark, quality_checks=checks, equipment=machines)
-    for max_labels in (1000, -1):
-        hot = extract.quality_rollup(data.quality_checks, max_labels).filter("run_id = 1").first()
-        mine = [c for c in checks if c[1] == 1]
-        labels = [c[5] for c in mine]
-        best = min(set(labels), key=lambda v: (-labels.count(v), v))
-        assert (hot.total_checks, hot.primary_defect_type) == (len(mine), best)
+    hot = extract.quality_rollup(data.quality_checks).filter("run_id = 1").first()
+    mine = [c for c in checks if c[1] == 1]
+    labels = [c[5] for c in mine]
+    best = min(set(labels), key=lambda v: (-labels.count(v), v))
+    assert (hot.total_checks, hot.primary_defect_type) == (len(mine), best)
     latest = extract.latest_equipment(data.equipment, AS_OF).filter("plant_id = 10").first()
     first = max((m for m in machines if m[1] == 10), key=lambda m: (m[6], -m[0]))
     assert latest.equipment_name == first[2]
@@ -102,3 +99,16 @@ def test_plan_of_latest_equipment(spark):
 def test_large_lookup_is_sliced(spark):
     df = extract.run_extract(tables(spark), AS_OF, ordered=False, limits=SMALL)
     assert "_slice" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rollup_with_thousands_of_labels_runs_no_job_when_defined(spark):
+    checks = [(i, i % 3, 10, 9, 1, f"T{i % 5000}", f"S{i}") for i in range(15000)] + [(99999, 1, 1, 1, 0, "T7", "S1")]
+    data = tables(spark, quality_checks=checks)
+    tracker, group = spark.sparkContext.statusTracker(), "defining"
+    data.quality_checks
+    spark.sparkContext.setJobGroup(group, group)
+    made = extract.quality_rollup(data.quality_checks)
+    assert len(tracker.getJobIdsForGroup(group)) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    rows = keyed(made, "run_id")
+    assert rows[1]["total_checks"] == 5001 and rows[1]["primary_defect_type"] == "T7" and rows[1]["primary_severity"] == "S1"

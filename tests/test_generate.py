@@ -3,7 +3,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shopfloor.plans import generate, profile, validate
+import generate
+from shopfloor.plans import profile, validate
 
 AS_OF = datetime.date(2024, 2, 1)
 

@@ -3,15 +3,16 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from frames import PLANTS, d, tables
 from shopfloor.functions.ordering import pg_desc
 from shopfloor.operators.joins import JoinLimits, attach, materialize_measured, measure, measured_size
-from shopfloor.operators.ranking import count_cells
+from shopfloor.operators.ranking import count_cells, rank_cells
 from shopfloor.plans import rankings
 
-SLICED = JoinLimits(broadcast_bytes=0, broadcast_rows=0, hot_keys=2, slice_rows=50)
+SLICED = JoinLimits(broadcast_bytes=0, broadcast_rows=0, slice_rows=50)
 
 
 def facts(spark, n=1200):
@@ -109,6 +110,14 @@ def test_ranks_sort_no_runs(spark):
     assert "Window" not in plan and "SinglePartition" not in plan
 
 
-def test_ranked_value_must_be_narrow(spark):
-    with pytest.raises(TypeError):
-        count_cells(spark.createDataFrame([(1, 2.0)], "k bigint, v double"), ["k"], "v")
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_ranks_of_any_type(spark, by):
+    rows = [(i % 3, None if i % 50 == 0 else Decimal(i * i % 997) / 7) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k bigint, v decimal(20,10)").repartition(6)
+    found = rank_cells(count_cells(df, by, "v"), "v", "place", by)
+    plain = df.withColumn("place", F.rank().over(Window.partitionBy(*by).orderBy(F.col("v").desc_nulls_first())))
+    columns = [*by, "v", "place"]
+    key = lambda r: [str(x) for x in r]
+    got = sorted((tuple(r) for r in found.select(*columns).collect()), key=key)
+    assert got == sorted((tuple(r) for r in plain.select(*columns).distinct().collect()), key=key)
+    assert dict(count_cells(df, by, "v").dtypes)["v"] == "decimal(20,10)"
