@@ -8,8 +8,8 @@ As only the classes are wanted, a bucket need not give all its pairs. First, in
 member is compared with one centre of its slice of the bucket, which joins most of a large group.
 Then the same is done in all bands, with other slices and centres in each, for members whose class
 differs from the centre's. Last, in buckets whose members are still of different classes, all pairs
-of different classes are compared by their packed bits inside the join, so that only those near the
-threshold leave it. Large buckets are split before that: two texts must share a second band.
+of different classes are compared inside the join, by their packed bits and then on their sets, so
+that only links leave it. Large buckets are split before that: two texts must share a second band.
 """
 
 from collections.abc import Iterator
@@ -30,7 +30,7 @@ SLICE = 256
 # Bands of the first round; a large group gives so many candidates a member, the later rounds few.
 FIRST_BANDS = 3
 # Buckets with more members of different classes than this are split by a second band.
-SPLIT_ABOVE = 512
+SPLIT_ABOVE = 4096
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _drawn = np.random.default_rng(20).integers(1, 2**63, size=(3, 256), dtype=np.uint64)
@@ -184,20 +184,27 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(F.col("common") * 100 >= percent * (F.size("left") + F.size("right") - F.col("common"))).select("a", "b")
 
 
-def _across(members: DataFrame, classes: DataFrame, percent: int, hashes: int) -> DataFrame:
-    """Likely pairs of members of one bucket that are in different classes so far."""
-    open_ = members.join(classes.select("member", "bits", "bands"), "member")
-    small = open_.filter(F.col("size") <= SPLIT_ABOVE).select("key", F.lit(0).alias("second"), "member", "label", "bits")
+def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, hashes: int) -> DataFrame:
+    """Links between members of one bucket that are in different classes so far.
+
+    Estimate and confirmation are both conditions of the join: pairs that are only alike, of which a
+    group of texts just below the threshold has many, are compared where they meet and not made rows.
+    """
+    with_sets = members.join(classes.select("member", "bits", "bands"), "member")
+    with_sets = with_sets.join(sets.withColumnRenamed("doc_id", "member"), "member")
+    columns = ["key", "second", "member", "label", "bits", "found"]
+    small = with_sets.filter(F.col("size") <= SPLIT_ABOVE).withColumn("second", F.lit(0).cast("bigint")).select(*columns)
     # Two texts that are near share more than one band; which ones, the split tries them all.
-    large = open_.filter(F.col("size") > SPLIT_ABOVE)
-    split = large.select("key", "band", "member", "label", "bits", F.posexplode("bands").alias("other", "value")).filter("other <> band")
-    split = split.select("key", F.xxhash64("other", "value").alias("second"), "member", "label", "bits")
-    rows = small.select("key", F.col("second").cast("bigint").alias("second"), "member", "label", "bits").unionByName(split)
+    split = with_sets.filter(F.col("size") > SPLIT_ABOVE).select("*", F.posexplode("bands").alias("other", "value"))
+    split = split.filter("other <> band").withColumn("second", F.xxhash64("other", "value")).select(*columns)
+    rows = small.unionByName(split)
     x, y = rows.alias("x"), rows.alias("y")
-    near = likely(F.col("x.bits"), F.col("y.bits"), percent, hashes)
+    common = F.size(F.array_intersect("x.found", "y.found"))
+    linked = common * 100 >= percent * (F.size("x.found") + F.size("y.found") - common)
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second"))
-    found = x.join(y, same & (F.col("x.member") < F.col("y.member")) & (F.col("x.label") != F.col("y.label")) & near)
-    return found.select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
+    differ = (F.col("x.member") < F.col("y.member")) & (F.col("x.label") != F.col("y.label"))
+    near = likely(F.col("x.bits"), F.col("y.bits"), percent, hashes)
+    return x.join(y, same & differ & near & linked).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -254,16 +261,12 @@ def near_duplicates(
     sets = checkpointed(shingle_sets(own.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
     bits = classes.select("member", "bits")
 
-    links = None
-    rounds = [
-        lambda: _star_pairs(members.filter(F.col("band") < FIRST_BANDS).withColumn("label", F.col("member"))),
-        lambda: _star_pairs(_open(members, final)),
-        lambda: _across(_open(members, final), classes, percent, hashes),
-    ]
-    for pairs in rounds:
-        found = checkpointed(_confirmed(_likely_pairs(pairs(), bits, percent, hashes), sets, percent))
-        links = found if links is None else links.unionByName(found)
-        final = connected(links)
+    first = members.filter(F.col("band") < FIRST_BANDS).withColumn("label", F.col("member"))
+    links = checkpointed(_confirmed(_likely_pairs(_star_pairs(first), bits, percent, hashes), sets, percent))
+    stars = _star_pairs(_open(members, connected(links)))
+    links = links.unionByName(checkpointed(_confirmed(_likely_pairs(stars, bits, percent, hashes), sets, percent)))
+    across = _across(_open(members, connected(links)), classes, sets, percent, hashes)
+    final = connected(links.unionByName(checkpointed(across)))
 
     of_set = classes.select("set_hash", "member").join(final, "member", "left")
     of_set = of_set.select("set_hash", F.coalesce("label", "member").alias("label"))
