@@ -37,6 +37,31 @@ def passages(text: Column) -> Column:
     return F.concat(F.split(text, "\n"), paragraphs)
 
 
+def telling_words(templates: Sequence[tuple[str, str]], threshold: float) -> list[str]:
+    """Words of which every passage that reaches the threshold for some template has one at least.
+
+    Such a passage shares threshold / (2 - threshold) of the template's bigrams. So for each template
+    words are taken, longest first, until the bigrams without any of them are fewer than that.
+    """
+    chosen: set[str] = set()
+    for _, text in templates:
+        grams = [set(g.split()) for g in bigrams_of(text)]
+        needed = len(grams) * threshold / (2 - threshold)
+        for word in sorted(set().union(*grams), key=lambda w: (w not in chosen, -len(w), w)) if grams else []:
+            if sum(not (g & chosen) for g in grams) < needed:
+                break
+            chosen.add(word)
+    return sorted(chosen)
+
+
+def _has_one(text: Column, words: Sequence[str]) -> Column:
+    lower = F.lower(text)
+    found = F.lit(False)
+    for word in words:
+        found = found | F.contains(lower, F.lit(word))
+    return found
+
+
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = tuple(TEMPLATES),
@@ -63,10 +88,14 @@ def scan(
             if g
         ]
     )
+    words = telling_words(templates, threshold)
     size, found = F.size("bigrams"), F.col("template.grams")
     units = (
         id_and_text(docs, id_col, text_col)
+        # Texts and passages without any telling word can't match; most end here, cheaply.
+        .filter(_has_one(F.col("text"), words))
         .select("doc_id", F.explode(passages(F.col("text"))).alias("passage"))
+        .filter(_has_one(F.col("passage"), words))
         .select("doc_id", normalised(F.col("passage")).alias("passage"))
         .withColumn("words", F.split("passage", " "))
         # A passage of n words has n - 1 bigrams at most.
