@@ -4,12 +4,14 @@ Texts with the same set are one class from the start, so a group of copies is on
 others, bands of minima give candidates; the low bits of all minima, packed, estimate the similarity
 corrected for chance agreement; what may reach the threshold is confirmed on the sets.
 
-As only the classes are wanted, a bucket need not give all its pairs. First, in a few bands, every
-member is compared with one centre of its slice of the bucket, which joins most of a large group.
-Then the same is done in all bands, with other slices and centres in each, for members whose class
-differs from the centre's. Last, in buckets whose members are still of different classes, all pairs
-of different classes are compared inside the join, by their packed bits and then on their sets, so
-that only links leave it. Large buckets are split before that: two texts must share a second band.
+As only the classes are wanted, a bucket need not give all its pairs. First, every member is compared
+with the centre of each of its buckets: the member that meets most others over all bands, as the
+original of many edited copies does. Then, in buckets whose members are still of different classes,
+all pairs of different classes are compared inside the join, by their packed bits and then on their
+sets, each pair in the first band they share, so that only links leave it. Large buckets are split
+before that: two texts must share a second band. Before the sets themselves, their parities are
+compared: for each of 1,024 places, whether an odd number of shingles falls there. Every place that
+differs needs a shingle of one set only, so too many of them rule the pair out for certain.
 """
 
 from collections.abc import Iterator
@@ -27,8 +29,7 @@ PERCENT = 75
 BANDS, ROWS = 24, 4
 BITS = 4
 SLICE = 256
-# Bands of the first round; a large group gives so many candidates a member, the later rounds few.
-FIRST_BANDS = 3
+PARITY_LONGS = 16
 # Buckets with more members of different classes than this are split by a second band.
 SPLIT_ABOVE = 4096
 
@@ -101,15 +102,24 @@ def signatures(docs: DataFrame, words: int = WORDS, bands: int = BANDS, rows: in
     return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """One bit for each place: whether the number of shingles that fall there is odd."""
+    places = (found >> np.uint64(20)) % np.uint64(PARITY_LONGS * 64)
+    odd = np.bincount(places.astype(np.int64), minlength=PARITY_LONGS * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, found) with the whole set as an array."""
+    """(doc_id, found, odd) with the whole set as an array, and its parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 2_000_000):
-            sets = pa.array([_signed(shingles(text, words)) for text in texts_of(batch, "text")], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["doc_id", "found"])
+            found = [shingles(text, words) for text in texts_of(batch, "text")]
+            kind = pa.list_(pa.int64())
+            sets, odd = pa.array([_signed(x) for x in found], kind), pa.array([parity(x) for x in found], kind)
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets, odd], ["doc_id", "found", "odd"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, found array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, found array<bigint>, odd array<bigint>")
 
 
 def _agreeing(left: Column, right: Column, longs: int, hashes: int) -> Column:
@@ -134,6 +144,14 @@ def likely(left: Column, right: Column, percent: int, hashes: int) -> Column:
     return (agree / F.lit(float(hashes)) - chance) / (1 - chance) >= wanted - 5 * error
 
 
+def _may_link(left: Column, right: Column, total: Column, percent: int) -> Column:
+    """False only if the parities differ in more places than linked sets, of ``total`` shingles together, can."""
+    differing = F.lit(0)
+    for i in range(PARITY_LONGS):
+        differing = differing + F.bit_count(left[i].bitwiseXOR(right[i]))
+    return differing * (100 + percent) <= total.cast("bigint") * (100 - percent)
+
+
 def _members(classes: DataFrame) -> DataFrame:
     """(key, member, band) of buckets with two members or more."""
     rows = classes.select("member", F.posexplode("bands").alias("band", "value"))
@@ -143,19 +161,20 @@ def _members(classes: DataFrame) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame) -> DataFrame:
-    """Each member (key, member, label, size) with the centre of its slice, and each centre with that of the bucket.
+    """Each member (key, member, size) with the centre of its bucket, as pairs (a, b) with a < b.
 
-    Pairs (a, b) with a < b, of different labels.
+    The centre is the member whose buckets hold most rows; equal ones are told apart the same way in
+    every bucket, so alike buckets have the same centre and their pairs coincide. Large buckets are
+    dealt over slices, and the centre with them.
     """
-    order = F.struct(F.xxhash64("member", "key").alias("order"), "member", "label")
     slices = F.ceil(F.col("size") / F.lit(SLICE)).cast("bigint")
-    dealt = members.withColumn("slice", F.pmod(F.xxhash64("key", "member"), slices))
-    centres = dealt.groupBy("key", "slice").agg(F.min(order).alias("centre"))
-    top = centres.groupBy("key").agg(F.min("centre").alias("top"))
-    to_centre = dealt.join(centres, ["key", "slice"]).filter("label <> centre.label")
-    to_top = centres.join(top, "key").filter("centre.label <> top.label")
-    pairs = to_centre.select(F.col("member").alias("x"), F.col("centre.member").alias("y"))
-    return _ordered(pairs.unionByName(to_top.select(F.col("centre.member").alias("x"), F.col("top.member").alias("y"))))
+    met = members.groupBy("member").agg(F.sum("size").alias("met"))
+    ranked = members.join(met, "member").withColumn("slice", F.pmod(F.xxhash64("key", "member"), slices))
+    centres = ranked.groupBy("key", "size").agg(F.min(F.struct(-F.col("met"), "member")).alias("centre"))
+    per_slice = centres.select("key", "centre.member", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("slice"))
+    dealt = ranked.select("key", "slice", F.col("member").alias("x"))
+    pairs = dealt.join(per_slice.withColumnRenamed("member", "y"), ["key", "slice"]).filter("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _likely_pairs(pairs: DataFrame, bits: DataFrame, percent: int, hashes: int) -> DataFrame:
@@ -172,39 +191,48 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(mixed.filter("low <> high").select("key", "size"), "key")
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _linked(left: Column, right: Column, percent: int) -> Column:
+    """Whether 100 * intersection >= percent * union, for arrays of distinct values; the sizes alone may rule it out."""
+    low, high = F.least(F.size(left), F.size(right)), F.greatest(F.size(left), F.size(right))
+    common = F.size(F.array_intersect(left, right)).cast("bigint")
+    return (low * F.lit(100).cast("bigint") >= high * percent) & (common * (100 + percent) >= (low.cast("bigint") + high) * percent)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("doc_id").alias("a"), F.col("found").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("found").alias("right"))
-    common = F.size(F.array_intersect("left", "right")).cast("bigint")
-    joined = pairs.join(left, "a").join(right, "b").withColumn("common", common)
-    return joined.filter(F.col("common") * 100 >= percent * (F.size("left") + F.size("right") - F.col("common"))).select("a", "b")
+    joined = pairs.join(left, "a").join(right, "b")
+    return joined.filter(_linked(F.col("left"), F.col("right"), percent)).select("a", "b")
 
 
-def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, hashes: int) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, hashes: int, rows_per_band: int) -> DataFrame:
     """Links between members of one bucket that are in different classes so far.
 
     Estimate and confirmation are both conditions of the join: pairs that are only alike, of which a
     group of texts just below the threshold has many, are compared where they meet and not made rows.
+    A pair is compared in the first band it shares only (of a split bucket, with the next one it shares):
+    all buckets of two texts of different classes are here.
     """
     with_sets = members.join(classes.select("member", "bits", "bands"), "member")
     with_sets = with_sets.join(sets.withColumnRenamed("doc_id", "member"), "member")
-    columns = ["key", "second", "member", "label", "bits", "found"]
-    small = with_sets.filter(F.col("size") <= SPLIT_ABOVE).withColumn("second", F.lit(0).cast("bigint")).select(*columns)
+    columns = ["key", "band", "second", "other", "member", "label", "bits", "bands", "odd", "found"]
+    small = with_sets.filter(F.col("size") <= SPLIT_ABOVE).withColumns({"second": F.lit(0).cast("bigint"), "other": F.lit(0)})
     # Two texts that are near share more than one band; which ones, the split tries them all.
     split = with_sets.filter(F.col("size") > SPLIT_ABOVE).select("*", F.posexplode("bands").alias("other", "value"))
-    split = split.filter("other <> band").withColumn("second", F.xxhash64("other", "value")).select(*columns)
-    rows = small.unionByName(split)
+    split = split.filter("other > band").withColumn("second", F.xxhash64("other", "value"))
+    rows = small.select(*columns).unionByName(split.select(*columns))
     x, y = rows.alias("x"), rows.alias("y")
-    common = F.size(F.array_intersect("x.found", "y.found"))
-    linked = common * 100 >= percent * (F.size("x.found") + F.size("y.found") - common)
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second"))
     differ = (F.col("x.member") < F.col("y.member")) & (F.col("x.label") != F.col("y.label"))
+    first = F.lit(True)
+    for i in range(hashes // rows_per_band):
+        before = (F.lit(i) < F.col("x.band")) | ((F.lit(i) > F.col("x.band")) & (F.lit(i) < F.col("x.other")))
+        first = first & ~(before & (F.col("x.bands")[i] == F.col("y.bands")[i]))
     near = likely(F.col("x.bits"), F.col("y.bits"), percent, hashes)
-    return x.join(y, same & differ & near & linked).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
+    total = F.size("x.found") + F.size("y.found")
+    near = near & _may_link(F.col("x.odd"), F.col("y.odd"), total, percent)
+    linked = _linked(F.col("x.found"), F.col("y.found"), percent)
+    return x.join(y, same & differ & near & first & linked).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -261,11 +289,8 @@ def near_duplicates(
     sets = checkpointed(shingle_sets(own.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words))
     bits = classes.select("member", "bits")
 
-    first = members.filter(F.col("band") < FIRST_BANDS).withColumn("label", F.col("member"))
-    links = checkpointed(_confirmed(_likely_pairs(_star_pairs(first), bits, percent, hashes), sets, percent))
-    stars = _star_pairs(_open(members, connected(links)))
-    links = links.unionByName(checkpointed(_confirmed(_likely_pairs(stars, bits, percent, hashes), sets, percent)))
-    across = _across(_open(members, connected(links)), classes, sets, percent, hashes)
+    links = checkpointed(_confirmed(_likely_pairs(_star_pairs(members), bits, percent, hashes), sets, percent))
+    across = _across(_open(members, connected(links)), classes, sets, percent, hashes, rows)
     final = connected(links.unionByName(checkpointed(across)))
 
     of_set = classes.select("set_hash", "member").join(final, "member", "left")

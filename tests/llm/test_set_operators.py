@@ -62,7 +62,7 @@ def test_near_duplicates_against_all_pairs(spark):
 
 def test_near_duplicates_in_large_groups(spark, monkeypatch):
     """Small limits, so that slices, splits and all rounds are used."""
-    for name, value in {"SLICE": 4, "SPLIT_ABOVE": 3, "FIRST_BANDS": 1}.items():
+    for name, value in {"SLICE": 4, "SPLIT_ABOVE": 3}.items():
         monkeypatch.setattr(neardup, name, value)
     rng = random.Random(6)
     base = " ".join(f"w{i}" for i in range(150))
@@ -98,6 +98,22 @@ def test_bits_estimate_similarity(spark):
     assert (agree / hashes - chance) / (1 - chance) == pytest.approx(exact, abs=0.2)
 
 
+def test_parities_never_rule_out_linked_sets(spark):
+    rng = random.Random(12)
+    rows, linked = [], 0
+    for share in [0.0, 0.01, 0.02, 0.03, 0.04, 0.06, 0.3] * 8:
+        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 80, 400, 3000])))
+        x, y = neardup.shingles(base), neardup.shingles(edited(base, rng, share))
+        common = len(set(x) & set(y))
+        near = 100 * common >= 75 * (len(x) + len(y) - common)
+        linked += near
+        rows.append((neardup.parity(x).tolist(), neardup.parity(y).tolist(), len(x) + len(y), near))
+    frame = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, total int, near boolean")
+    may = neardup._may_link(F.col("a"), F.col("b"), F.col("total"), 75)
+    assert linked > 20 and frame.filter(F.col("near") & ~may).count() == 0
+    assert frame.filter(~may).count() > 5
+
+
 def test_connected_on_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101)], "a bigint, b bigint")
     found = {r["member"]: r["label"] for r in neardup.connected(links.repartition(3)).collect()}
