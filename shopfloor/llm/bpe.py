@@ -26,7 +26,7 @@ from shopfloor.llm.common import small_batches, texts_of
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # A worker keeps at most twice as many encoded pieces of text.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
 
 
 def printable_bytes() -> dict[str, int]:
