@@ -36,19 +36,22 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def read_tokens(path: str) -> tuple[dict, dict[str, int], dict[int, bytes]]:
+    """The model of a tokenizer file, the ids of its special tokens and every token's bytes by id."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    to_byte = printable_bytes()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    plain = ((t, i) for t, i in spec["model"]["vocab"].items() if t not in special)
+    by_id = {i: bytes(to_byte[c] for c in t) for t, i in plain}
+    return spec["model"], special, by_id | {i: t.encode() for t, i in special.items()}
+
+
 class Vocabulary:
-    """Tables derived from a tokenizer file: bytes, halves, ranks and prefixes of the tokens."""
+    """Tables derived from a tokenizer file: halves, ranks and prefixes of the tokens."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        to_byte = printable_bytes()
-        model = spec["model"]
-        as_bytes = lambda token: bytes(to_byte[c] for c in token)
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        by_id = {i: as_bytes(t) for t, i in model["vocab"].items() if t not in self.special}
-        by_id |= {i: t.encode() for t, i in self.special.items()}
-        self.bytes_of = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        model, self.special, by_id = read_tokens(path)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         ids = model["vocab"]
         self.merged = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)}
@@ -188,7 +191,8 @@ class Decoder:
     """All tokens' bytes end to end, and where each begins."""
 
     def __init__(self, path: str):
-        tokens = Vocabulary(path).bytes_of
+        by_id = read_tokens(path)[2]
+        tokens = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.offset = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int64)
 
@@ -213,6 +217,22 @@ def _once(kind: type, path: str):
     return _made[key]
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return rows, rows.schema["id"].dataType.simpleString()
+
+
+def _encoded(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+    ids = [encoder.text(text) for text in texts_of(batch, "text")]
+    counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+    return pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+
+
+def _decoded(batch: pa.RecordBatch, decoder: Decoder) -> pa.RecordBatch:
+    texts = pa.array([decoder.text(ids or b"") for ids in texts_of(batch, "ids")], pa.string())
+    return pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "text"])
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of each whole text: (id, n_tokens, ids), ids as little-endian unsigned 32-bit integers.
 
@@ -223,12 +243,9 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once(Encoder, tokenizer)
         for batch in small_batches(batches, "text"):
-            ids = [encoder.text(text) for text in texts_of(batch, "text")]
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+            yield _encoded(batch, encoder)
 
-    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    rows, kind = _rows(docs, id_col, text_col)
     return rows.mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary")
 
 
@@ -238,8 +255,19 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _once(Decoder, tokenizer)
         for batch in small_batches(batches, "ids"):
-            texts = pa.array([decoder.text(ids or b"") for ids in texts_of(batch, "ids")], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "text"])
+            yield _decoded(batch, decoder)
 
     kind = encoded.schema["id"].dataType.simpleString()
     return encoded.select("id", "n_tokens", "ids").mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one worker with both tables, not two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _once(Encoder, tokenizer), _once(Decoder, tokenizer)
+        for batch in small_batches(batches, "text"):
+            yield _decoded(_encoded(batch, encoder), decoder)
+
+    rows, kind = _rows(docs, id_col, text_col)
+    return rows.mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary, text string")

@@ -50,8 +50,7 @@ def license_matches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoded_and_decoded(spark: SparkSession, folder: str) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    decoded = bpe.decode(bpe.encode(read_table(spark, folder, "documents"), path), path)
+    decoded = bpe.round_trip(read_table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
     return decoded.select(
         F.col("id").alias("doc_id"),
         "n_tokens",

@@ -38,6 +38,7 @@ def test_byte_bpe_equals_the_library(spark):
     texts = [None, "", *odd_texts(800), "x" * 50_000, "<|endoftext|>"]
     library = Tokenizer.from_file(BYTE)
     rows = {r["id"]: r for r in bpe.decode(bpe.encode(documents(spark, texts), BYTE), BYTE).collect()}
+    assert {r["id"]: r for r in bpe.round_trip(documents(spark, texts), BYTE).collect()} == rows
     for i, text in enumerate(texts):
         wanted = library.encode(text or "", add_special_tokens=False).ids
         assert ids_of(rows[i]["ids"]) == wanted and rows[i]["n_tokens"] == len(wanted)
@@ -48,6 +49,7 @@ def test_bpe_of_no_rows_and_repeated_rows(spark):
     assert bpe.decode(bpe.encode(documents(spark, []), BYTE), BYTE).count() == 0
     twice = documents(spark, ["ab"]).unionByName(documents(spark, ["ab"]))
     assert bpe.encode(twice, BYTE).count() == 2
+    assert bpe.round_trip(twice, BYTE).count() == 2 and bpe.round_trip(documents(spark, []), BYTE).count() == 0
 
 
 def test_packing_holds_every_id_once(spark):
