@@ -196,6 +196,22 @@ def _null_rates() -> str:
     )
 
 
+def _profile(date: str = "run_date") -> str:
+    return _on_extract(
+        f"""SELECT count(*) AS row_count, {big('34')} AS column_count, min({date}) AS first_run_date,
+       max({date}) AS last_run_date, count(DISTINCT plant_name) AS plants,
+       count(DISTINCT product_category) AS product_categories,
+       {half_up('sum(CAST(round(efficiency_pct * 100) AS BIGINT))', '(count(efficiency_pct) * 100)', 1)}
+         AS avg_efficiency_pct
+FROM run_extract"""
+    )
+
+
+def _preview_rows() -> str:
+    names = ["production_runs", "quality_checks", "equipment", "plants", "products"]
+    return _with([], _union([f"SELECT '{n}' AS \"table\", least(10, count(*)) AS preview_rows FROM {n}" for n in names]))
+
+
 def _completeness() -> str:
     fates = """fates AS (
   SELECT CASE WHEN NOT EXISTS (SELECT 1 FROM plants p WHERE p.plant_id = r.plant_id) THEN 'unknown_plant'
@@ -224,12 +240,13 @@ def _fan_out() -> str:
     return _on_extract(_union(selects))
 
 
-def _dtype_check() -> str:
+def _dtype_check(odd: dict[str, str] | None = None) -> str:
+    """``odd`` tells for which rows a column's text was made unreadable."""
     return _on_extract(
         _union(
             [
                 f"SELECT '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS expected_type, "
-                f"count({f.name}) AS filled, {big('0')} AS unreadable FROM run_extract"
+                f"count({f.name}) AS filled, count({f.name}) FILTER (WHERE {(odd or {}).get(f.name, 'FALSE')}) AS unreadable FROM run_extract"
                 for f in EXTRACT.fields
             ]
         )
@@ -312,15 +329,6 @@ def _audit() -> str:
     )
 
 
-def _synthetic_rules() -> str:
-    rules = [
-        "shift", "plant", "product", "planned_units", "actual_units", "defective_units", "efficiency",
-        "checks_add_up", "checks_all_or_none", "equipment_all_or_none",
-    ]
-    selects = ["SELECT 'rows' AS rule, count(*) AS found FROM production_runs"]
-    return _with([], _union(selects + [f"SELECT '{r}', {big('0')}" for r in rules]))
-
-
 def _queries() -> dict[str, str]:
     return {
         "table_row_counts": _row_counts(),
@@ -329,21 +337,25 @@ def _queries() -> dict[str, str]:
             f"""SELECT p.plant_type, {RUNS}, {UNITS} AS total_units, {EFFICIENCY}
 FROM {PLANT_RUNS} WHERE r.shift = '1-URGENT' GROUP BY p.plant_type""",
         ),
-        "defect_rate_by_plant": _with([], BY_PLANT),
+        "defect_rate_by_plant": _with([], f"{BY_PLANT} ORDER BY defect_rate_pct DESC NULLS FIRST, p.plant_id"),
         "defect_rate_top10": _with(
             [],
             f"""SELECT p.plant_name, p.city, {RUNS}, {DEFECTS}, {RATE}, {EFFICIENCY}
 FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name, p.city
 ORDER BY defect_rate_pct DESC NULLS FIRST, p.plant_id LIMIT 10""",
         ),
-        "efficiency_by_shift": _with([], BY_SHIFT),
-        "pass_rate_by_category": _with([], BY_CATEGORY),
+        "efficiency_by_shift": _with([], f"{BY_SHIFT} ORDER BY avg_efficiency_pct DESC NULLS FIRST, r.shift NULLS LAST"),
+        "pass_rate_by_category": _with([], f"{BY_CATEGORY} ORDER BY pass_rate_pct DESC NULLS FIRST, d.category NULLS LAST"),
         "pass_rate_by_category_short": _with(
-            [], f"SELECT product_category, total_checks, total_passed, pass_rate_pct FROM ({BY_CATEGORY})"
+            [], f"SELECT product_category, total_checks, total_passed, pass_rate_pct FROM ({BY_CATEGORY}) "
+            "ORDER BY pass_rate_pct DESC NULLS FIRST, product_category NULLS LAST",
         ),
         "quality_rollup": _with([ROLLUP], "SELECT * FROM quality_rollup"),
         "latest_equipment": _with([LATEST], "SELECT * FROM latest_equipment"),
-        "run_extract": _on_extract("SELECT * FROM run_extract"),
+        # Plant names follow the plant ids, which the extract doesn't show.
+        "run_extract": _on_extract(
+            "SELECT * FROM run_extract ORDER BY run_date DESC NULLS FIRST, plant_name, shift NULLS LAST, run_id"
+        ),
         "join_preview_10": _with(
             [LATEST],
             """SELECT r.run_id, CAST(r.run_date AS VARCHAR) AS run_date, r.shift,
@@ -357,12 +369,12 @@ ORDER BY r.run_date DESC NULLS FIRST, r.run_id LIMIT 10""",
             [],
             f"""SELECT p.plant_name, p.city, {RUNS}, {EFFICIENCY}, {UNITS} AS total_units, {DEFECTS}, {RATE},
        {half_up('sum(r.actual_units)', 'count(r.run_id)', 0)} AS avg_units_per_run
-FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name, p.city""",
+FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name, p.city ORDER BY avg_efficiency_pct DESC NULLS FIRST, p.plant_id""",
         ),
         "plant_efficiency_short": _with(
             [],
             f"""SELECT p.plant_name, {RUNS}, {EFFICIENCY}, {UNITS} AS total_units, {DEFECTS}, {RATE}
-FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name""",
+FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name ORDER BY avg_efficiency_pct DESC NULLS FIRST, p.plant_id""",
         ),
         "efficiency_rank": _with([], f"SELECT * EXCLUDE (plant_id) FROM ({RANKED})"),
         "efficiency_rank_top50": _with(
@@ -374,14 +386,8 @@ FROM {PLANT_RUNS} GROUP BY p.plant_id, p.plant_name""",
        efficiency_rank_within_plant AS rank_within_plant
 FROM (SELECT * FROM ({RANKED}) ORDER BY {RANK_ORDER} LIMIT 20)""",
         ),
-        "extract_profile": _on_extract(
-            f"""SELECT count(*) AS row_count, {big('34')} AS column_count, min(run_date) AS first_run_date,
-       max(run_date) AS last_run_date, count(DISTINCT plant_name) AS plants,
-       count(DISTINCT product_category) AS product_categories,
-       {half_up('sum(CAST(round(efficiency_pct * 100) AS BIGINT))', '(count(efficiency_pct) * 100)', 1)}
-         AS avg_efficiency_pct
-FROM run_extract"""
-        ),
+        "extract_profile": _profile(),
+        "profile_of_text_dates": _profile("CASE WHEN run_id % 3 <> 0 THEN run_date END"),
         "null_report": _null_report(),
         "quality_flags": _on_extract(
             """SELECT count(*) FILTER (WHERE efficiency_pct = 0) AS zero_efficiency_rows,
@@ -394,12 +400,19 @@ FROM run_extract"""
         "fan_out": _fan_out(),
         "null_rates": _null_rates(),
         "dtype_check": _dtype_check(),
+        "dtype_check_odd_texts": _dtype_check({"run_date": "run_id % 3 = 0", "efficiency_pct": "run_id % 4 = 1"}),
+        "preview_rows_found": _preview_rows(),
+        "csv_text_round_trip": _on_extract(
+            """SELECT * REPLACE ('  ' || shift || ' ' AS shift,
+       CASE run_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL
+            WHEN 2 THEN 'a' || chr(10) || 'b"c, ' || chr(13) || chr(10) || operator ELSE operator END AS operator)
+FROM run_extract"""
+        ),
         "defect_coverage": _on_extract(
             f"""SELECT count(*) AS row_count, count(defect_rate_pct) AS with_defect_rate,
        {pct('count(defect_rate_pct)', 'count(*)')} AS coverage_pct,
        count(defect_rate_pct) * 100 >= count(*) * 80 AS sufficient FROM run_extract"""
         ),
-        "synthetic_rules": _synthetic_rules(),
         "defect_by_plant_shift": _with(
             [],
             f"""SELECT p.plant_id, p.plant_name, p.city, r.shift, {RUNS}, {UNITS} AS total_units_produced, {DEFECTS}, {RATE}

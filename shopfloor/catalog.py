@@ -22,6 +22,7 @@ def _with_extract(query: Callable[[Tables, DataFrame], DataFrame]) -> Callable[[
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     **{f"preview_{t}": _preview(t) for t in ("production_runs", "quality_checks", "equipment", "plants", "products")},
+    "preview_rows_found": explore.preview_rows_found,
     "table_row_counts": explore.table_row_counts,
     "defect_rate_by_plant": reports.defect_rate_by_plant,
     "defect_rate_top10": reports.defect_rate_top10,

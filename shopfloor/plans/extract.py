@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopfloor.functions.numeric import percent, row_ratio
 from shopfloor.functions.ordering import newest_first, pg_asc, pg_desc
@@ -21,8 +22,7 @@ ROW = ["run_id", "run_date", "shift"]
 def quality_rollup(checks: DataFrame) -> DataFrame:
     """Checks added up per run, with the most frequent defect type and severity.
 
-Each check counts once under its defect type and once under its severity.
-
+    Each check counts once under its defect type and once under its severity.
     The counts are combined on the map side, so that no task holds the labels of a whole run.
     """
     numbers = ["check_id", "sample_size", "passed", "failed"]
@@ -109,6 +109,19 @@ def _active_products(tables: Tables) -> DataFrame:
     )
 
 
+def _with_rollup(runs: DataFrame, checks: DataFrame) -> DataFrame:
+    """Every run with its checks added up; runs without an id, of which there may be many, are spread over all tasks.
+
+    They match nothing, so any value may stand for their key as long as it is told apart by the condition.
+    """
+    spread = F.pmod(F.xxhash64(*[c for c in runs.columns if c != "run_id"]), F.lit(2**31 - 1))
+    if not isinstance(runs.schema["run_id"].dataType, T.LongType):
+        spread = spread.cast(runs.schema["run_id"].dataType)
+    keyed = runs.withColumn("_key", F.coalesce("run_id", spread))
+    rollup = quality_rollup(checks).withColumnRenamed("run_id", "_run")
+    return keyed.join(rollup, (F.col("_key") == F.col("_run")) & F.col("run_id").isNotNull(), "left").drop("_key", "_run")
+
+
 def keyed_extract(
     tables: Tables, as_of: datetime.date | None = None, limits: JoinLimits = DEFAULT_LIMITS
 ) -> DataFrame:
@@ -121,7 +134,7 @@ def keyed_extract(
     runs = tables.production_runs.withColumn(
         "yield_pct", row_ratio(F.col("actual_units"), F.col("planned_units"), percent=True)
     )
-    with_checks = runs.join(quality_rollup(tables.quality_checks), "run_id", "left")
+    with_checks = _with_rollup(runs, tables.quality_checks)
     context = materialize_measured(_plant_context(tables, as_of), "plant-context")
     with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs, slice_by=ROW)
     joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs, slice_by=ROW)

@@ -100,7 +100,7 @@ def from_jdbc(
     partitions: int = 64,
     properties: dict[str, str] | None = None,
 ) -> Tables:
-    """Read from a database; the two large tables in ``partitions`` ranges of their key.
+    """Read from a database; the large tables in ``partitions`` ranges of their key.
 
     ``properties`` carries user, password and driver; the driver's jar must be on the classpath.
     """

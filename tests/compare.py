@@ -25,16 +25,17 @@ def _sortable(row):
     return tuple((value is None, str(type(value)), str(value)) for value in row)
 
 
-def rows_of(columns, rows):
+def rows_of(columns, rows, ordered=False):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=_sortable)
+    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
+    return plain if ordered else sorted(plain, key=_sortable)
 
 
-def differences(df, sql: str, folder: str) -> list[str]:
+def differences(df, sql: str, folder: str, ordered: bool = False) -> list[str]:
     cursor = connect(folder).execute(sql)
     names = [d[0] for d in cursor.description]
-    expected = rows_of(names, cursor.fetchall())
-    actual = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    expected = rows_of(names, cursor.fetchall(), ordered)
+    actual = rows_of(df.columns, [tuple(r) for r in df.collect()], ordered)
     found = []
     if sorted(names) != sorted(df.columns):
         found.append(f"columns {sorted(df.columns)} instead of {sorted(names)}")

@@ -66,6 +66,16 @@ def test_join_preview(spark, limits):
     assert [r.equipment_name for r in rows] == [None, "Robot", "Only", None]
 
 
+def test_runs_without_an_id_are_spread_and_match_nothing(spark):
+    runs = [(None, 10, 100, day(1), "N", f"O{i}", 10, i, 0, d("1.00"), 1) for i in range(3000)]
+    data = tables(spark, production_runs=runs + [(1, 10, 100, day(2), "N", "A", 10, 10, 0, d("1.00"), 1)])
+    rows = extract.run_extract(data, AS_OF, ordered=False).select("run_id", "total_checks").collect()
+    assert sorted(((r.run_id is None, r.total_checks) for r in rows), key=str) == [(False, 3)] + [(True, None)] * 3000
+    joined = extract._with_rollup(data.production_runs, data.quality_checks)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(run_id" in plan
+
+
 def test_one_hot_run_and_plant(spark):
     """A third of the checks on one run and of the machines in one plant, against plain loops."""
     checks = [(i, 1 if i % 3 == 0 else i, 10, 9, 1, f"T{i % 7}", f"S{i % 2}") for i in range(900)]
