@@ -51,6 +51,11 @@ NOISE_NAMES = frozenset(
     "sharing social subscribe newsletter signup breadcrumb breadcrumbs pagination pager search login toolbar masthead widget "
     "copyright skip contentinfo complementary alert".split()
 )
+# What an article can be named when it is no main text itself, such as a reader's comment in an article of its own.
+MINOR_ARTICLES = frozenset("comment comments reply replies ad ads advert advertisement promo sponsored related".split())
+# A header named like this is the page's, unless its name also speaks of the article.
+HEADERS = frozenset(["header", "topbar"])
+OF_ARTICLE = frozenset("article post entry content story title".split())
 # Elements that a new block inside the same parent ends.
 CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 
@@ -68,8 +73,12 @@ def _element(parent: Element, tag: str, attributes: str) -> Element:
         names += (a or b or c).lower().split()
     label = ".".join([tag, *sorted(_DIGITS.sub("0", n) for n in names)])
     parts = {p for n in names for p in _NAME_PARTS.split(n)}
-    named = tag not in ("html", "body", "article", "main") and bool(parts & NOISE_NAMES)
-    noise = parent.noise or tag in NOISE_TAGS or named or (tag == "header" and not parent.main)
+    if tag == "article":
+        named = bool(MINOR_ARTICLES.intersection(names)) or any(n.startswith(("comment-", "reply-")) for n in names)
+    else:
+        named = tag not in ("html", "body", "main") and bool(parts & NOISE_NAMES)
+    header = not parent.main and (tag == "header" or tag == "div" and bool(parts & HEADERS) and not parts & OF_ARTICLE)
+    noise = parent.noise or tag in NOISE_TAGS or named or header
     return Element(f"{parent.path}/{label}", tag, noise, parent.main or (tag in MAIN and not noise))
 
 

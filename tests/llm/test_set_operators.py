@@ -165,6 +165,18 @@ def test_template_finds_the_slot_without_named_elements(spark):
     assert {r["text"] for r in found} == {f"Body text number {n} of page {n}, long enough." for n in range(8)}
 
 
+def test_comments_in_articles_of_their_own_and_named_headers(spark):
+    page = (
+        "<body><div class='site-header'>Name {n}</div><article class='post'><header><h1>Head {n}</h1></header><p>Body {n}.</p></article>"
+        "<article class='comment'><p>Nice {n}!</p></article><article class='reply-box'><p>Yes {n}</p></article></body>"
+    )
+    plain = "<body><div class='site-header'>Name {n}</div><div class='post-header'><h1>Head {n}</h1></div><p>Body {n}.</p></body>"
+    rows = [(i, f"http://{'ab'[i % 2]}.example/{i}", [page, plain][i % 2].format(n=i)) for i in range(6)]
+    rows.append((9, "http://single.example/", page.format(n=9)))
+    found = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {(r["page_id"], r["text"]) for r in found} == {(i, f"Head {i}\nBody {i}.") for i in [*range(6), 9]}
+
+
 def test_templates_joined_by_shuffle_give_the_same(spark, monkeypatch):
     rows = [(n, f"http://h{n % 3}.example/", PAGE.format(n=n)) for n in range(30)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
