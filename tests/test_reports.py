@@ -66,7 +66,9 @@ def test_row_counts_and_preview(spark):
 def test_category_targets(spark):
     targets = spark.createDataFrame([("Metal", d("86.11")), ("Plastic", d("1.00"))], "product_category string, target_pct decimal(5,2)")
     rows = keyed(analyses.category_vs_target(tables(spark), targets), "product_category")
-    assert set(rows) == {"Metal"}
+    assert set(rows) == {"Electronics", "Metal"}
+    # A category without a target stays, without a verdict.
+    assert rows["Electronics"]["target_pct"] is None and rows["Electronics"]["under_target"] is None
     assert rows["Metal"]["under_target"] is False  # 86.111... is not under 86.11
 
 
