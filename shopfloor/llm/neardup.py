@@ -8,9 +8,9 @@ As only the classes are wanted, a bucket need not give all its pairs. First, eve
 with the centre of each of its buckets: the member that meets most others over all bands, as the
 original of many edited copies does. Then, in buckets whose members are still of different classes,
 all pairs of different classes are compared inside the join, by their packed bits and then on their
-sets, each pair in the first band they share, so that only links leave it. Large buckets are split
-before that: two texts must share a second band. Before the sets themselves, their parities are
-compared: for each of 1,024 places, whether an odd number of shingles falls there. Every place that
+sets, each pair in the first band they share, so that only links leave it. Large buckets are dealt
+over slices before that, and each pair of slices is joined for itself. Before the sets themselves,
+their parities are compared: for each of 1,024 places, whether an odd number of shingles falls there. Every place that
 differs needs a shingle of one set only, so too many of them rule the pair out for certain.
 """
 
@@ -30,7 +30,7 @@ BANDS, ROWS = 24, 4
 BITS = 4
 SLICE = 256
 PARITY_LONGS = 16
-# Buckets with more members of different classes than this are split by a second band.
+# Buckets with more members of different classes than this are dealt over slices of half as many.
 SPLIT_ABOVE = 4096
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -205,34 +205,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_linked(F.col("left"), F.col("right"), percent)).select("a", "b")
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Each bucket's members over blocks (key, low, high) of two slices, so that any two members meet as slices low and high once."""
+    slices = F.when(F.col("size") > SPLIT_ABOVE, F.ceil(F.col("size") * 2 / F.lit(SPLIT_ABOVE))).otherwise(F.lit(1)).cast("bigint")
+    sliced = members.withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key", "member"), F.col("slices")))
+    blocks = sliced.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("other"))
+    return blocks.withColumns({"low": F.least("slice", "other"), "high": F.greatest("slice", "other")})
+
+
 def _across(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, hashes: int, rows_per_band: int) -> DataFrame:
     """Links between members of one bucket that are in different classes so far.
 
     Estimate and confirmation are both conditions of the join: pairs that are only alike, of which a
     group of texts just below the threshold has many, are compared where they meet and not made rows.
-    A pair is compared in the first band it shares only (of a split bucket, with the next one it shares):
-    all buckets of two texts of different classes are here.
+    A pair is compared in the first band it shares only: all buckets of two texts of different
+    classes are here.
     """
     with_sets = members.join(classes.select("member", "bits", "bands"), "member")
     with_sets = with_sets.join(sets.withColumnRenamed("doc_id", "member"), "member")
-    columns = ["key", "band", "second", "other", "member", "label", "bits", "bands", "odd", "found"]
-    small = with_sets.filter(F.col("size") <= SPLIT_ABOVE).withColumns({"second": F.lit(0).cast("bigint"), "other": F.lit(0)})
-    # Two texts that are near share more than one band; which ones, the split tries them all.
-    split = with_sets.filter(F.col("size") > SPLIT_ABOVE).select("*", F.posexplode("bands").alias("other", "value"))
-    split = split.filter("other > band").withColumn("second", F.xxhash64("other", "value"))
-    rows = small.select(*columns).unionByName(split.select(*columns))
+    columns = ["key", "low", "high", "slice", "band", "member", "label", "bits", "bands", "odd", "found"]
+    rows = _dealt(with_sets).select(*columns)
     x, y = rows.alias("x"), rows.alias("y")
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second"))
-    differ = (F.col("x.member") < F.col("y.member")) & (F.col("x.label") != F.col("y.label"))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    once = (F.col("x.slice") == F.col("x.low")) & (F.col("y.slice") == F.col("x.high"))
+    once = once & ((F.col("x.low") < F.col("x.high")) | (F.col("x.member") < F.col("y.member")))
+    differ = once & (F.col("x.label") != F.col("y.label"))
     first = F.lit(True)
     for i in range(hashes // rows_per_band):
-        before = (F.lit(i) < F.col("x.band")) | ((F.lit(i) > F.col("x.band")) & (F.lit(i) < F.col("x.other")))
-        first = first & ~(before & (F.col("x.bands")[i] == F.col("y.bands")[i]))
+        first = first & ~((F.lit(i) < F.col("x.band")) & (F.col("x.bands")[i] == F.col("y.bands")[i]))
     near = likely(F.col("x.bits"), F.col("y.bits"), percent, hashes)
     total = F.size("x.found") + F.size("y.found")
     near = near & _may_link(F.col("x.odd"), F.col("y.odd"), total, percent)
     linked = _linked(F.col("x.found"), F.col("y.found"), percent)
-    return x.join(y, same & differ & near & first & linked).select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
+    pairs = x.join(y, same & differ & near & first & linked).select(F.col("x.member").alias("x"), F.col("y.member").alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -72,6 +72,41 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     assert [rows[i] for i in range(len(texts))] == label
 
 
+def bands_of(text):
+    least = neardup.minima(neardup.shingles(text), neardup.BANDS * neardup.ROWS)
+    return least.reshape(neardup.BANDS, neardup.ROWS)
+
+
+def test_near_duplicates_that_share_one_large_bucket_only(spark, monkeypatch):
+    """The pair's one band is a bucket of more than SPLIT_ABOVE unlike texts, and another text is its centre."""
+    monkeypatch.setattr(neardup, "SPLIT_ABOVE", 4)
+    rng = random.Random(3)
+    while True:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        changed = list(words)
+        for at in rng.sample(range(5, 145), 4):
+            changed[at] = f"v{rng.randrange(10**6)}"
+        pair = " ".join(words), " ".join(changed)
+        same = (bands_of(pair[0]) == bands_of(pair[1])).all(axis=1)
+        if plain_classes(pair)[1] == [0, 0] and same.sum() == 1:
+            break
+    band, places = int(same.argmax()), []
+    for wanted in bands_of(pair[0])[band]:
+        pieces = (" ".join(words[i : i + 5]) for i in range(146))
+        places.append(next(p for p in pieces if wanted in bands_of(p)[band]))
+    others = []
+    while len(others) < 8:
+        filler = [f"u{rng.randrange(10**6)}" for _ in range(3)]
+        text = " ".join(rng.sample(places, len(places)) + filler)
+        if (bands_of(text)[band] == bands_of(pair[0])[band]).all():
+            others += [text, text + " end"] if not others else [text]
+    texts = [*others, *pair]
+    _, label = plain_classes(texts)
+    assert label[-2:] == [len(others)] * 2 and len(set(label)) == len(texts) - 2
+    rows = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == label
+
+
 def test_near_duplicates_of_few_and_repeated_rows(spark):
     assert neardup.near_duplicates(docs_of(spark, [])).count() == 0
     assert neardup.one_of_each(docs_of(spark, [])).count() == 0
