@@ -4,8 +4,9 @@ A page's tokens are its elements, named by their path of tags, classes and ids.
 token the occurrence vector, how often it occurs on which page, is summed up as hashes; tokens with
 equal vectors are an equivalence class. Classes of two tokens or more that occur once on at least
 half of the host's pages are the template, nested as the paths are. Its slots are what stands between
-its tokens: the main slot is where most of the varying text is; slots whose text never varies while
-the pages do, and those of menus, footers, forms and the like, are not main text.
+its tokens: the main slot is where most of the varying text is; slots outside articles whose
+text never varies while the pages do, and those of menus, footers, forms and the like, are not main
+text. On hosts of copies, where such slots hold most of the text, they are kept.
 
 Vectors are combined on the map side, so a host of any size reaches a task as one row per token.
 """
@@ -200,25 +201,35 @@ def templates(pages: DataFrame) -> DataFrame:
     return valid.groupBy("host").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
 
 
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
+def _fixed_paths(tokens: list[dict]) -> set[str]:
+    """Containers with the same text on all pages; none if they hold most of the host's text, as on hosts of copies."""
+    shares = {t["path"]: t["share"] for t in tokens if t["fixed"] and _tag(t["path"]) in CONTAINERS}
+    outer = [p for p in shares if not any(p.startswith(o + "/") for o in shares if o != p)]
+    return set() if sum(shares[p] for p in outer) > 0.5 else set(shares)
+
+
 def _main_paths(tokens: list[dict]) -> set[str]:
     """The outermost article or main slots; without any, the innermost container that holds most of the text."""
-    usable = [t for t in tokens if not t["noise"] and not t["fixed"]]
-    tag = lambda path: path.rpartition("/")[2].partition(".")[0]
-    named = sorted(t["path"] for t in usable if tag(t["path"]) in MAIN)
+    usable = [t for t in tokens if not t["noise"]]
+    named = sorted(t["path"] for t in usable if _tag(t["path"]) in MAIN)
     outer = {p for p in named if not any(p.startswith(o + "/") for o in named if o != p)}
     if outer:
         return outer
-    large = [t["path"] for t in usable if t["share"] >= MAIN_SHARE and tag(t["path"]) in CONTAINERS]
+    large = [t["path"] for t in usable if t["share"] >= MAIN_SHARE and _tag(t["path"]) in CONTAINERS and not t["fixed"]]
     return {max(large, key=lambda p: (p.count("/"), p))} if large else set()
 
 
 def main_text(page: str, tokens: list[dict]) -> str:
     """The blocks of the main slot without the slots inside it that are no main text."""
     found, _ = blocks(page)
-    fixed = {t["path"] for t in tokens if t["fixed"] and t["path"].rpartition("/")[2].partition(".")[0] in CONTAINERS}
+    fixed = _fixed_paths(tokens)
 
     def kept(stack: tuple[Element, ...], slots: set[str]) -> bool:
-        if stack[-1].noise or any(e.path in fixed for e in stack):
+        if stack[-1].noise or not stack[-1].main and any(e.path in fixed for e in stack):
             return False
         return not slots or any(e.path in slots for e in stack)
 

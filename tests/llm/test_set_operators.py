@@ -212,6 +212,17 @@ def test_comments_in_articles_of_their_own_and_named_headers(spark):
     assert {(r["page_id"], r["text"]) for r in found} == {(i, f"Head {i}\nBody {i}.") for i in [*range(6), 9]}
 
 
+def test_equal_articles_under_different_menus_stay(spark):
+    top = "<body><div id=m>Menu {n}</div>"
+    wrapped = top + "<div class=w><article><div><h1>Head</h1><p>Copied text.</p></div></article></div><div id=e>End</div></body>"
+    plain = top + "<div id=q><p>A copied text that is longer than the menu.</p></div><p>Page {n}</p></body>"
+    rows = [(n, "http://w.example/", wrapped.format(n=n)) for n in range(4)]
+    rows += [(n, "http://p.example/", plain.format(n=n)) for n in range(10, 14)]
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(found[n] == "Head\nCopied text." for n in range(4))
+    assert all("A copied text that is longer than the menu." in found[n] for n in range(10, 14))
+
+
 def test_templates_joined_by_shuffle_give_the_same(spark, monkeypatch):
     rows = [(n, f"http://h{n % 3}.example/", PAGE.format(n=n)) for n in range(30)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
