@@ -4,7 +4,7 @@ A page's tokens are its elements, named by their path of tags, classes and ids.
 token the occurrence vector, how often it occurs on which page, is summed up as hashes; tokens with
 equal vectors are an equivalence class. Classes of two tokens or more that occur once on at least
 half of the host's pages are the template, nested as the paths are. Its slots are what stands between
-its tokens: the main slot is where most of the varying text is; slots outside articles whose
+its tokens: the main slots are articles or, without any, the whole page; slots outside articles whose
 text never varies while the pages do, and those of menus, footers, forms and the like, are not main
 text. On hosts of copies, where such slots hold most of the text, they are kept.
 
@@ -25,7 +25,6 @@ from shopfloor.llm.common import checkpointed, small_batches, texts_of
 # Templates are sent to all tasks within this size; beyond it they are joined by shuffle, in slices.
 BROADCAST_BYTES = 32 * 1024 * 1024
 SLICES = 16
-MAIN_SHARE = 0.85
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|iframe|svg|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -213,14 +212,9 @@ def _fixed_paths(tokens: list[dict]) -> set[str]:
 
 
 def _main_paths(tokens: list[dict]) -> set[str]:
-    """The outermost article or main slots; without any, the innermost container that holds most of the text."""
-    usable = [t for t in tokens if not t["noise"]]
-    named = sorted(t["path"] for t in usable if _tag(t["path"]) in MAIN)
-    outer = {p for p in named if not any(p.startswith(o + "/") for o in named if o != p)}
-    if outer:
-        return outer
-    large = [t["path"] for t in usable if t["share"] >= MAIN_SHARE and _tag(t["path"]) in CONTAINERS and not t["fixed"]]
-    return {max(large, key=lambda p: (p.count("/"), p))} if large else set()
+    """The outermost article or main slots, if there are any."""
+    named = sorted(t["path"] for t in tokens if not t["noise"] and _tag(t["path"]) in MAIN)
+    return {p for p in named if not any(p.startswith(o + "/") for o in named if o != p)}
 
 
 def main_text(page: str, tokens: list[dict]) -> str:

@@ -223,6 +223,14 @@ def test_equal_articles_under_different_menus_stay(spark):
     assert all("A copied text that is longer than the menu." in found[n] for n in range(10, 14))
 
 
+def test_small_slots_beside_a_large_one_stay_without_an_article(spark):
+    long = " ".join(f"word{{n}}x{i}" for i in range(60))
+    page = "<body><div id=h>Headline {n}</div><div id=b><p>" + long + "</p></div><div id=l>Last words {n}</div><div id=f>Fixed</div></body>"
+    rows = [(n, "http://d.example/", page.format(n=n)) for n in range(6)]
+    found = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["text"] for r in found} == {f"Headline {n}\n{long.format(n=n)}\nLast words {n}" for n in range(6)}
+
+
 def test_templates_joined_by_shuffle_give_the_same(spark, monkeypatch):
     rows = [(n, f"http://h{n % 3}.example/", PAGE.format(n=n)) for n in range(30)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
