@@ -2,8 +2,10 @@
 
 Each language has a distribution over hashed byte trigrams of lower-cased letters. A text's
 proportions are found by expectation-maximisation; starting from the single most likely language,
-further ones join the set in the order of their proportions while the log-likelihood gains more than
-a penalty. The language with the largest proportion in the chosen set is the answer.
+each other one, in the order of their proportions, joins the set if the log-likelihood gains more
+than a penalty. The proportions start equal and take a fixed number of rounds, after which the gain
+of a passage of very few words in a long text can still be too small. The language with the largest
+proportion in the chosen set is the answer.
 """
 
 import re
@@ -65,12 +67,11 @@ class Model:
             all_shares, _ = self.mixture(p, counts, rounds)
             cost = penalty * np.log1p(counts.sum())
             for i in np.argsort(-all_shares, kind="stable"):
-                if i == best or all_shares[i] < 0.02:
+                if i == best:
                     continue
                 more, gained = self.mixture(p[[*chosen, i]], counts, rounds)
-                if gained - likelihood <= cost:
-                    break
-                chosen, shares, likelihood = [*chosen, int(i)], more, gained
+                if gained - likelihood > cost:
+                    chosen, shares, likelihood = [*chosen, int(i)], more, gained
         main = int(np.lexsort((chosen, -shares))[0])
         score = float(shares[main]) * (float(posterior) if len(chosen) == 1 else 1.0)
         return self.names[chosen[main]], min(1.0, score), [(self.names[c], float(s)) for c, s in zip(chosen, shares)]

@@ -217,3 +217,15 @@ def test_licenses_against_plain_dice(spark):
     assert len(summary) == len(texts) and summary[7]["n_matches"] == 0 and summary[7]["licenses"] is None
     assert summary[0]["best_license"] == "Apache-2.0" and summary[4]["n_matches"] == 2
     assert licenses.license_summary(documents(spark, []), licenses.scan(documents(spark, []))).count() == 0
+
+
+def test_a_short_passage_in_another_language_is_found():
+    rng = random.Random(2)
+    words = {name: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(300)] for name, letters in
+             {"a": "aeioulmnr", "b": "aeiszkptr", "c": "aouybdgvn"}.items()}
+    text_in = lambda name, n: " ".join(rng.choice(words[name]) for _ in range(n))
+    model = langid.Model({name: langid.trigram_counts(text_in(name, 5000)) for name in words})
+    text = text_in("a", 10_000) + " " + text_in("b", 300) + " " + text_in("a", 10_000)
+    main, _, found = model.languages(text, langid.PENALTY, langid.ROUNDS)
+    assert main == "a" and [name for name, _ in found] == ["a", "b"]
+    assert [name for name, _ in model.languages(text_in("a", 20_000), langid.PENALTY, langid.ROUNDS)[2]] == ["a"]
