@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bpe, chat, html, imatch, langid, licenses, neardup, packing, quality, vectors
+from shopfloor.llm import bpe, chat, html, imatch, langid, licenses, lm, neardup, packing, quality, vectors
 from shopfloor.llm.common import crc_of_id, read_table
 from shopfloor.llm.oracle import ORACLE_SQL
 
@@ -93,6 +93,15 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
+def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    held_out = crc_of_id(F.col("doc_id")) % 7 == 2
+    model = lm.learn(docs.filter(~held_out))
+    found = lm.score(docs, model)
+    train_tokens = F.lit(model.tokens).cast("bigint").alias("train_tokens")
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_imatch_fingerprints": document_fingerprints,
     "op9_chat_formatting": formatted_conversations,
     "op10_language_id": languages,
+    "op11_lm_scoring": language_model_scores,
     "pipeline": pipeline,
 }
 
