@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bpe, chat, html, imatch, langid, licenses, lm, neardup, packing, quality, vectors
+from shopfloor.llm import bpe, chat, hardneg, html, imatch, langid, licenses, lm, neardup, packing, quality, vectors
 from shopfloor.llm.common import crc_of_id, read_table
 from shopfloor.llm.oracle import ORACLE_SQL
 
@@ -102,6 +102,14 @@ def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
 
 
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = vectors.whole_numbers(F.col("embedding"), 256)
+    table = read_table(spark, folder, "embeddings").select("vec_id", label.alias("label"), vector.alias("vector"))
+    rows = hardneg.usable_rows(table)
+    return hardneg.hard_negatives(rows, rows.filter("vec_id % 100 = 0"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_formatting": formatted_conversations,
     "op10_language_id": languages,
     "op11_lm_scoring": language_model_scores,
+    "op12_hard_negatives": hard_negatives,
     "pipeline": pipeline,
 }
 
