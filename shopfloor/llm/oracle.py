@@ -122,10 +122,54 @@ WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 QUALIFY row_number() OVER w <= 5
 """
 
+FILTER_INTERACTIONS = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM words GROUP BY text),
+marks AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+docs AS MATERIALIZED (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(w) < 200,
+    100 * len(list_distinct(w)) < 50 * len(w),
+    100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text),
+    regexp_matches(text, '[#$%&*|]'),
+    coalesce(first < doc_id, false)] AS fails
+  FROM words LEFT JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)),
+patterns AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM docs GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+tried AS (
+  SELECT part, filter_order, step, n, good, toxic,
+         list_transform(string_split(filter_order, ''), lambda f: fails[ascii(f) - 64]) AS failed
+  FROM patterns, steps),
+counted AS (
+  SELECT part, filter_order, step, filter_order[step] AS f,
+         coalesce(sum(n) FILTER (NOT list_bool_or(failed[1:step])), 0) AS kept,
+         coalesce(sum(n) FILTER (failed[step] AND NOT list_bool_or([false] || failed[1:step - 1])), 0) AS removed,
+         coalesce(sum(n) FILTER (failed[step] AND list_bool_or([false] || failed[1:step - 1])), 0) AS redundant,
+         coalesce(sum(n) FILTER (failed[step] AND len(list_filter(failed, lambda x: x)) = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (failed[step] AND NOT list_bool_or([false] || failed[1:step - 1])), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (failed[step] AND NOT list_bool_or([false] || failed[1:step - 1])), 0) AS toxic_lost
+  FROM tried GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k_search": TOP_K,
     "op5_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_license_scan": LICENSES,
     "op9_chat_formatting": CHAT,
     "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_filter_interactions": FILTER_INTERACTIONS,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import bpe, chat, hardneg, html, imatch, langid, licenses, lm, neardup, packing, quality, vectors
+from shopfloor.llm import bpe, chat, filters, hardneg, html, imatch, langid, licenses, lm, neardup, packing, quality, vectors
 from shopfloor.llm.common import crc_of_id, read_table
 from shopfloor.llm.oracle import ORACLE_SQL
 
@@ -110,6 +110,10 @@ def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hardneg.hard_negatives(rows, rows.filter("vec_id % 100 = 0"))
 
 
+def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filters.filter_audit(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": languages,
     "op11_lm_scoring": language_model_scores,
     "op12_hard_negatives": hard_negatives,
+    "op13_filter_interactions": filter_interactions,
     "pipeline": pipeline,
 }
 
