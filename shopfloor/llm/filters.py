@@ -1,6 +1,6 @@
 """How filters interact: what every order of them removes, from a sparse document-term matrix.
 
-The distinct words of all documents form a dictionary whose codes are dense whole numbers. The
+The distinct words of all documents form a dictionary of whole numbers as codes. The
 matrix lies in shards of some megabytes of text, in compressed rows: for each document the codes of
 its words and how often each occurs. A document's row sum is its number of words, the number of its
 nonzero entries that of its distinct words. These decide two filters, the others look at the text
@@ -22,16 +22,27 @@ from shopfloor.llm.words import words_of
 from shopfloor.storage import materialize
 
 SHARD_BYTES = 12_000_000
+#: Bytes of all shards' words that one task of the dictionary holds, about.
+SLICE_BYTES = 4_000_000
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_UPPER_PERCENT = 200, 50, 3
 FILTERS = "ABCDE"
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b"#$%&*|")] = True
 
 _LISTS = {"ids": "bigint", "langs": "string", "upper": "bigint", "points": "bigint", "marked": "boolean", "digests": "binary"}
-_SHARDS = ", ".join(f"{c} array<{t}>" for c, t in _LISTS.items()) + ", starts array<int>, terms array<int>, counts array<int>, words array<binary>"
+_SHARDS = ", ".join(f"{c} array<{t}>" for c, t in _LISTS.items()) + ", starts array<int>, terms binary, counts binary, words binary"
 _NAMES = [f.split()[0] for f in _SHARDS.split(", ")]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit whole numbers as bytes of equal weight, one after the other, which compress well where most are small."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+
+
 def _as_list(values: pa.Array) -> pa.Array:
     """A column of one row that holds all values."""
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -46,8 +57,10 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
     """The matrix, one row a shard, with words numbered within each shard; written once.
 
     The entries of document i are those from ``starts[i]`` to ``starts[i + 1]`` of ``terms`` (places
-    in ``words``) and ``counts``. With them go a shard's number, and of each document its id,
-    language, capitals, code points, whether it is marked, and a SHA-256 of its text.
+    in ``words``, each entry as its distance to the one before) and ``counts``; ``words`` are the
+    shard's distinct words with a blank between. With them go a shard's number, and of each document
+    its id, language, capitals, code points, whether it is marked, and a SHA-256 of its text. Within
+    a shard, words are told apart by their 64-bit numbers.
     """
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,11 +81,14 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
                 "marked": pa.array(_sums(_MARKS[data], found.offsets) > 0),
                 "digests": pa.array([hashlib.sha256(raw[a:b]).digest() for a, b in zip(found.offsets, found.offsets[1:])], pa.binary()),
                 "starts": pa.array(starts.astype(np.int32)),
-                "terms": pa.array(terms.astype(np.int32)),
-                "counts": pa.array(np.diff(np.append(new, len(cells))).astype(np.int32)),
-                "words": pa.array([raw[found.starts[i] : found.ends[i]] for i in first], pa.binary()),
             }
-            yield pa.RecordBatch.from_arrays([_as_list(lists[c]) for c in _NAMES], _NAMES)
+            blobs = {
+                "terms": packed(np.diff(terms, prepend=0)),
+                "counts": packed(np.diff(np.append(new, len(cells)))),
+                "words": b" ".join(raw[a:b] for a, b in zip(found.starts[first], found.ends[first])),
+            }
+            columns = [_as_list(lists[c]) if c in lists else pa.array([blobs[c]], pa.binary()) for c in _NAMES]
+            yield pa.RecordBatch.from_arrays(columns, _NAMES)
 
     own = docs.select(
         docs[id_col].cast("bigint").alias("doc_id"),
@@ -82,54 +98,85 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
     return materialize(own.mapInArrow(shard, _SHARDS).withColumn("shard", F.monotonically_increasing_id()), "term-shards")
 
 
-def dictionary_of(shards: DataFrame) -> DataFrame:
-    """(word, code): all distinct words, with the whole numbers from 0 on; written once.
+def codes_of(shards: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """The dictionary: (slice, shard, first, words, codes), the codes of a shard's words that are in a slice.
 
-    A code is a word's place in its task's output after the words of all tasks before.
+    Words are dealt over slices by their numbers, as many slices as it takes for each to hold about
+    ``slice_bytes`` of all shards' words. A word's code is its slice in the upper and its place in
+    the slice in the lower 32 bits. ``first`` is the place of the first of ``words`` in the shard,
+    where the words are in the order of their numbers and so of their slices.
     """
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    written = materialize(words.withColumn("place", F.monotonically_increasing_id()), "dictionary")
-    task = F.shiftright("place", 33)
-    counts = written.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("task", F.coalesce(before, F.lit(0)).alias("offset"))
-    # One row for each task that wrote.
-    numbered = written.withColumn("task", task).join(F.broadcast(offsets), "task")
-    return numbered.select("word", (F.col("offset") + F.col("place").bitwiseAND(F.lit(2**33 - 1))).alias("code"))
+    total = shards.agg(F.sum(F.octet_length("words").cast("bigint"))).first()[0] or 0
+    slices = max(64, -(-total // slice_bytes))
+    # Slices of equal ranges of the numbers' first 32 bits.
+    edges = (np.arange(1, slices, dtype=np.uint64) << np.uint64(32)) // np.uint64(slices) << np.uint64(32)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, words in zip(batch.column(0), batch.column(1)):
+                found = words_of(pa.array([words.as_py()], pa.binary()))
+                cuts = np.concatenate([[0], np.searchsorted(found.numbers, edges), [len(found)]])
+                full = np.flatnonzero(np.diff(cuts))
+                raw = found.data.tobytes()
+                parts = [raw[found.starts[cuts[s]] : found.ends[cuts[s + 1] - 1]] for s in full]
+                columns = [pa.array(full.astype(np.int64)), pa.array([shard.as_py()] * len(full), pa.int64())]
+                columns += [pa.array(cuts[full].astype(np.int64)), pa.array(parts, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "shard", "first", "words"])
+
+    def number(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        # In the order of the shards, so that a retry gives the same codes.
+        table = table.sort_by("shard")
+        known: dict[bytes, int] = {}
+        codes = []
+        for words in table.column("words").to_pylist():
+            codes.append(packed(np.array([known.setdefault(w, len(known)) for w in words.split(b" ")])))
+        return table.append_column("codes", pa.array(codes, pa.binary()))
 
+    schema = "slice bigint, shard bigint, first bigint, words binary"
+    dealt = shards.select("shard", "words").mapInArrow(deal, schema)
+    return dealt.groupBy("slice").applyInArrow(number, schema + ", codes binary")
 
-def term_matrix(shards: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """The shards with ``codes``: the code of each of a shard's words."""
-    words = shards.select("shard", F.posexplode("words").alias("local", "word"))
-    coded = words.join(dictionary, "word").groupBy("shard")
-    codes = coded.agg(F.array_sort(F.collect_list(F.struct("local", "code"))).alias("coded"))
-    return shards.drop("words").join(codes.select("shard", F.col("coded.code").alias("codes")), "shard", "left")
+
+_MATRIX = ", ".join(f"{c} array<{t}>" for c, t in _LISTS.items()) + ", starts array<int>, codes binary, counts binary"
+_MATRIX_NAMES = [f.split()[0] for f in _MATRIX.split(", ")]
+
+
+def term_matrix(shards: DataFrame, codes: DataFrame) -> DataFrame:
+    """The matrix in compressed rows under the dictionary's codes: ``starts``, ``codes`` (64 bits each) and ``counts``."""
+
+    def encode(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = sorted(right.select(["first", "slice", "codes"]).to_pylist(), key=lambda r: r["first"])
+        table = np.concatenate([np.zeros(0, np.int64), *((r["slice"] << 32) + unpacked(r["codes"]) for r in parts)])
+        terms = np.cumsum(unpacked(left.column("terms")[0].as_py()))
+        made = left.append_column("codes", pa.array([table[terms].astype("<i8").tobytes()], pa.binary()))
+        return made.select(_MATRIX_NAMES)
+
+    data = shards.drop("words")
+    return data.groupBy("shard").cogroup(codes.select("shard", "first", "slice", "codes").groupBy("shard")).applyInArrow(encode, _MATRIX)
 
 
 def flags_of(matrix: DataFrame) -> DataFrame:
-    """(doc_id, part, digest, failed) for each document: which of the first four filters it fails, as bits 1, 2, 4 and 8."""
+    """(doc_id, part, digest, failed) for each document: which of the first four filters it fails, as bits 1, 2, 4 and 8.
+
+    A row sum is the number of words, the number of a row's entries that of distinct words.
+    """
 
     def flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(batch.schema.get_field_index(c)).slice(i, 1).flatten() for c in matrix_columns}
-                starts, terms, counts, codes = (row[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("starts", "terms", "counts", "codes"))
-                indices = codes[terms] if len(terms) else terms
-                words = np.diff(np.concatenate([[0], np.cumsum(counts)])[starts])
-                # Of a row's indices, in order, those that differ from the one before.
-                inner = np.ones(len(indices), bool)
-                ordered = indices[np.lexsort((indices, np.repeat(np.arange(len(starts) - 1), np.diff(starts))))]
-                inner[1:] = ordered[1:] != ordered[:-1]
-                inner[starts[:-1][np.diff(starts) > 0]] = True
-                distinct = _sums(inner, starts)
-                upper, points = row["upper"].to_numpy(), row["points"].to_numpy()
+                row = {c: batch.column(batch.schema.get_field_index(c)).slice(i, 1) for c in columns}
+                lists = {c: row[c].flatten() for c in (*_LISTS, "starts")}
+                starts = lists["starts"].to_numpy()
+                distinct = np.diff(starts)
+                words = np.diff(np.concatenate([[0], np.cumsum(unpacked(row["counts"][0].as_py()))])[starts])
                 failed = (words < LEAST_WORDS) * 1 + (100 * distinct < LEAST_DISTINCT_PERCENT * words) * 2
-                failed += (100 * upper > MOST_UPPER_PERCENT * points) * 4 + row["marked"].to_numpy(zero_copy_only=False) * 8
-                columns = [row["ids"], row["langs"], row["digests"], pa.array(failed.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "digest", "failed"])
+                failed += (100 * lists["upper"].to_numpy() > MOST_UPPER_PERCENT * lists["points"].to_numpy()) * 4
+                failed += lists["marked"].to_numpy(zero_copy_only=False) * 8
+                made = [lists["ids"], lists["langs"], lists["digests"], pa.array(failed.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(made, ["doc_id", "part", "digest", "failed"])
 
-    matrix_columns = ["ids", "langs", "upper", "points", "marked", "digests", "starts", "terms", "counts", "codes"]
-    return matrix.select(*matrix_columns).mapInArrow(flags, "doc_id bigint, part string, digest binary, failed int")
+    columns = [*_LISTS, "starts", "counts"]
+    return matrix.select(*columns).mapInArrow(flags, "doc_id bigint, part string, digest binary, failed int")
 
 
 def patterns_of(flags: DataFrame, labels: DataFrame, id_col: str = "doc_id", good_col: str = "quality", toxic_col: str = "toxic") -> DataFrame:
@@ -200,5 +247,5 @@ def filter_audit(docs: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_BY
     says so. No rows give no parts and no rows.
     """
     shards = shards_of(docs, shard_bytes)
-    matrix = term_matrix(shards, dictionary_of(shards))
+    matrix = term_matrix(shards, codes_of(shards))
     return audit(materialize(patterns_of(flags_of(matrix), labels), "filter-patterns"))

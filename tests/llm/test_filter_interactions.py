@@ -5,6 +5,8 @@ import re
 from collections import Counter
 from itertools import permutations
 
+import numpy as np
+
 
 from shopfloor.llm import filters
 
@@ -87,20 +89,25 @@ def test_matrix_holds_every_word_under_one_code(spark):
     rows = some_rows(40)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
     shards = filters.shards_of(docs, 2000)
-    dictionary = filters.dictionary_of(shards)
-    codes = {bytes(r["word"]).decode(): r["code"] for r in dictionary.collect()}
+    table = filters.codes_of(shards, slice_bytes=500)
+    dictionary = {}
+    for r in table.collect():
+        for word, place in zip(bytes(r["words"]).split(b" "), filters.unpacked(r["codes"]).tolist()):
+            assert dictionary.setdefault(word.decode(), (r["slice"] << 32) + place) == (r["slice"] << 32) + place
     counted = Counter()
     for _, text, _ in rows:
         counted.update(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
-    assert sorted(codes.values()) == list(range(len(counted))) and set(codes) == set(counted)
+    assert set(dictionary) == set(counted) and len(set(dictionary.values())) == len(dictionary)
+    assert shards.count() > 3 and table.select("slice").distinct().count() > 10
     found, totals = [], Counter()
-    for r in filters.term_matrix(shards, dictionary).collect():
+    for r in filters.term_matrix(shards, table).collect():
+        codes, counts = np.frombuffer(r["codes"], "<i8").tolist(), filters.unpacked(r["counts"]).tolist()
         for i, doc in enumerate(r["ids"]):
             cells = range(r["starts"][i], r["starts"][i + 1])
-            found.append((doc, sum(r["counts"][c] for c in cells), len(cells)))
+            assert len({codes[c] for c in cells}) == len(cells)
+            found.append((doc or -1, sum(counts[c] for c in cells), len(cells)))
             for c in cells:
-                totals[r["codes"][r["terms"][c]]] += r["counts"][c]
-    assert totals == {codes[w]: n for w, n in counted.items()}
+                totals[codes[c]] += counts[c]
+    assert totals == {dictionary[w]: n for w, n in counted.items()}
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t, _ in rows]
-    assert sorted(found, key=lambda x: (x[0] or -1, x[1:])) == sorted([(r[0], len(w), len(set(w))) for r, w in zip(rows, words)], key=lambda x: (x[0] or -1, x[1:]))
-    assert shards.count() > 3
+    assert sorted(found) == sorted((r[0] or -1, len(w), len(set(w))) for r, w in zip(rows, words))
