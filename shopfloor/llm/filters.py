@@ -21,9 +21,9 @@ from shopfloor.llm.common import small_batches
 from shopfloor.llm.words import words_of
 from shopfloor.storage import materialize
 
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 6_000_000
 #: Bytes of all shards' words that one task of the dictionary holds, about.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_UPPER_PERCENT = 200, 50, 3
 FILTERS = "ABCDE"
 _MARKS = np.zeros(256, bool)
@@ -50,7 +50,8 @@ def _as_list(values: pa.Array) -> pa.Array:
 
 def _sums(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many places of each text are marked."""
-    return np.diff(np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])[offsets])
+    rows = np.searchsorted(offsets, np.flatnonzero(mask), "right") - 1
+    return np.bincount(rows, minlength=len(offsets) - 1)
 
 
 def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -77,7 +78,7 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
                 "ids": batch.column(0),
                 "langs": batch.column(2),
                 "upper": pa.array(_sums((data >= 65) & (data <= 90), found.offsets)),
-                "points": pa.array(_sums((data & 0xC0) != 0x80, found.offsets)),
+                "points": pa.array(np.diff(found.offsets) - _sums((data & 0xC0) == 0x80, found.offsets)),
                 "marked": pa.array(_sums(_MARKS[data], found.offsets) > 0),
                 "digests": pa.array([hashlib.sha256(raw[a:b]).digest() for a, b in zip(found.offsets, found.offsets[1:])], pa.binary()),
                 "starts": pa.array(starts.astype(np.int32)),
