@@ -14,6 +14,7 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from shopfloor.llm.common import small_batches
 from shopfloor.llm.words import words_of
 from shopfloor.storage import materialize
 
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 4_000_000
 #: Bytes of all shards' words that one task of the dictionary holds, about.
 SLICE_BYTES = 2_000_000
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_UPPER_PERCENT = 200, 50, 3
@@ -35,12 +36,13 @@ _NAMES = [f.split()[0] for f in _SHARDS.split(", ")]
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """32-bit whole numbers as bytes of equal weight, one after the other, which compress well where most are small."""
-    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """32-bit whole numbers, compressed: bytes of equal weight stand together, most of which are zero."""
+    return zstandard.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
 
 
 def _as_list(values: pa.Array) -> pa.Array:
@@ -59,7 +61,7 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
 
     The entries of document i are those from ``starts[i]`` to ``starts[i + 1]`` of ``terms`` (places
     in ``words``, each entry as its distance to the one before) and ``counts``; ``words`` are the
-    shard's distinct words with a blank between. With them go a shard's number, and of each document
+    shard's distinct words with a blank between, compressed. With them go a shard's number, and of each document
     its id, language, capitals, code points, whether it is marked, and a SHA-256 of its text. Within
     a shard, words are told apart by their 64-bit numbers.
     """
@@ -86,7 +88,7 @@ def shards_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES, id_col: str = "do
             blobs = {
                 "terms": packed(np.diff(terms, prepend=0)),
                 "counts": packed(np.diff(np.append(new, len(cells)))),
-                "words": b" ".join(raw[a:b] for a, b in zip(found.starts[first], found.ends[first])),
+                "words": zstandard.compress(b" ".join(raw[a:b] for a, b in zip(found.starts[first], found.ends[first])), 1),
             }
             columns = [_as_list(lists[c]) if c in lists else pa.array([blobs[c]], pa.binary()) for c in _NAMES]
             yield pa.RecordBatch.from_arrays(columns, _NAMES)
@@ -103,7 +105,7 @@ def codes_of(shards: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The dictionary: (slice, shard, first, words, codes), the codes of a shard's words that are in a slice.
 
     Words are dealt over slices by their numbers, as many slices as it takes for each to hold about
-    ``slice_bytes`` of all shards' words. A word's code is its slice in the upper and its place in
+    ``slice_bytes`` of all shards' words, compressed. A word's code is its slice in the upper and its place in
     the slice in the lower 32 bits. ``first`` is the place of the first of ``words`` in the shard,
     where the words are in the order of their numbers and so of their slices.
     """
@@ -115,11 +117,11 @@ def codes_of(shards: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, words in zip(batch.column(0), batch.column(1)):
-                found = words_of(pa.array([words.as_py()], pa.binary()))
+                found = words_of(pa.array([zstandard.decompress(words.as_py())], pa.binary()))
                 cuts = np.concatenate([[0], np.searchsorted(found.numbers, edges), [len(found)]])
                 full = np.flatnonzero(np.diff(cuts))
                 raw = found.data.tobytes()
-                parts = [raw[found.starts[cuts[s]] : found.ends[cuts[s + 1] - 1]] for s in full]
+                parts = [zstandard.compress(raw[found.starts[cuts[s]] : found.ends[cuts[s + 1] - 1]], 1) for s in full]
                 columns = [pa.array(full.astype(np.int64)), pa.array([shard.as_py()] * len(full), pa.int64())]
                 columns += [pa.array(cuts[full].astype(np.int64)), pa.array(parts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["slice", "shard", "first", "words"])
@@ -130,7 +132,7 @@ def codes_of(shards: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
         known: dict[bytes, int] = {}
         codes = []
         for words in table.column("words").to_pylist():
-            codes.append(packed(np.array([known.setdefault(w, len(known)) for w in words.split(b" ")])))
+            codes.append(packed(np.array([known.setdefault(w, len(known)) for w in zstandard.decompress(words).split(b" ")])))
         return table.append_column("codes", pa.array(codes, pa.binary()))
 
     schema = "slice bigint, shard bigint, first bigint, words binary"

@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import permutations
 
 import numpy as np
+import zstandard
 
 
 from shopfloor.llm import filters
@@ -92,7 +93,7 @@ def test_matrix_holds_every_word_under_one_code(spark):
     table = filters.codes_of(shards, slice_bytes=500)
     dictionary = {}
     for r in table.collect():
-        for word, place in zip(bytes(r["words"]).split(b" "), filters.unpacked(r["codes"]).tolist()):
+        for word, place in zip(zstandard.decompress(bytes(r["words"])).split(b" "), filters.unpacked(r["codes"]).tolist()):
             assert dictionary.setdefault(word.decode(), (r["slice"] << 32) + place) == (r["slice"] << 32) + place
     counted = Counter()
     for _, text, _ in rows:
