@@ -1,8 +1,12 @@
 """Search, near duplicates, pages, chats and the pipeline on small tables, against plain versions."""
 
-import hashlib
+import json
+import os
 import random
+import subprocess
+import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,12 +124,93 @@ def test_near_duplicates_of_few_and_repeated_rows(spark):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, -1, 3, 7] and kept.columns == odd.columns
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    """Each text counts for itself; only rows equal in id and text, or in one component, are left out."""
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [
+        (1, "a text of its own here", "x"), (1, "nothing in common with the other", "x"), (2, base, "x"), (2, base + " more", "x"),
+        (3, base, "x"), (4, "", "x"), (4, None, "y"), (5, "a text of its own here", "x"), (6, "last one of all texts", "y"), (6, "last one of all texts", "z"),
+        (None, base, "x"), (None, base, "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _slice string").repartition(3)
+    found = sorted(((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect()), key=str)
+    wanted = [(1, 1, True), (1, 1, True), (2, 2, True), (2, 2, True), (3, 2, False), (4, 4, True), (4, 4, True), (5, 1, False), (6, 6, True), (6, 6, True)]
+    assert found == sorted(wanted + [(-1, None, True)] * 2, key=str)
+    kept = neardup.one_of_each(docs)
+    left = [(r["doc_id"], r["text"] or "") for r in kept.collect()]
+    assert kept.columns == docs.columns and len(left) == 7
+    assert [t for i, t in left if i == 1] in (["a text of its own here", "nothing in common with the other"], ["nothing in common with the other", "a text of its own here"])
+    assert sorted(i or -1 for i, _ in left) == [-1, -1, 1, 1, 2, 4, 6]
+
+
+ALIKE = """
+import random, sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://" + {events!r}).config("spark.eventLog.compress", "false")
+    .config("spark.eventLog.rolling.enabled", "false").config("spark.checkpoint.dir", {shared!r}).getOrCreate())
+from shopfloor.llm import neardup
+rng = random.Random(5)
+base = [f"word{{rng.randrange(10**6)}}" for _ in range(240)]
+rows = []
+for i in range(1600):
+    words = list(base)
+    for at in rng.sample(range(240), 12):
+        words[at] = f"new{{rng.randrange(10**9)}}"
+    rows.append((i, " ".join(words)))
+spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet({docs!r})
+spark.sparkContext.setJobGroup("measured", "near duplicates")
+found = neardup.near_duplicates(spark.read.parquet({docs!r}))
+found.write.parquet({out!r})
+print(sum(len(t) for _, t in rows))
+"""
+
+
+def test_alike_texts_shuffle_little_more_than_they_are(spark, tmp_path):
+    """1,600 texts a little below the threshold: no more than four times their bytes are shuffled, and no link is lost."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = {name: str(tmp_path / name) for name in ("events", "shared", "docs", "out")}
+    os.mkdir(paths["events"])
+    done = subprocess.run([sys.executable, "-c", ALIKE.format(root=root, **paths)], capture_output=True, text=True, env={**os.environ, "PYTHONPATH": root}, check=True)
+    size = int(done.stdout.split()[-1])
+    shuffled = 0
+    for name in os.listdir(paths["events"]):
+        for line in open(os.path.join(paths["events"], name)):
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerTaskEnd":
+                shuffled += (event.get("Task Metrics") or {}).get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(paths["docs"]).collect()}
+    found = {r["doc_id"]: r["component_id"] for r in spark.read.parquet(paths["out"]).collect()}
+    assert [found[i] for i in range(len(texts))] == plain_labels([texts[i] for i in range(len(texts))])
+    assert shuffled <= 4 * size, (shuffled, size)
+
+
+def plain_labels(texts, percent=75):
+    """Classes by comparing all pairs, as a matrix of common shingles."""
+    sets = [neardup.shingles(t) for t in texts]
+    names = {x: i for i, x in enumerate(sorted({int(x) for s in sets for x in s}))}
+    table = np.zeros((len(texts), len(names)), np.float32)
+    for i, s in enumerate(sets):
+        table[i, [names[int(x)] for x in s]] = 1
+    common, sizes = table @ table.T, table.sum(axis=1)
+    linked = (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & (sizes[:, None] > 0) & (sizes[None, :] > 0)
+    label = np.arange(len(texts))
+    while True:
+        least = np.where(linked, label[None, :], len(texts)).min(axis=1)
+        after = np.minimum(label, least)
+        if (after == label).all():
+            return label.tolist()
+        label = after
+
+
 def test_bits_estimate_similarity(spark):
     texts = [" ".join(f"w{i}" for i in range(300)), " ".join(f"w{i}" for i in range(40, 340))]
     rows = neardup.signatures(docs_of(spark, texts)).orderBy("doc_id").collect()
     hashes = neardup.BANDS * neardup.ROWS
     frame = spark.createDataFrame([(rows[0]["bits"], rows[1]["bits"])], "a array<bigint>, b array<bigint>")
-    agree = frame.select(neardup._agreeing(F.col("a"), F.col("b"), len(rows[0]["bits"]), hashes)).first()[0]
+    longs = range(len(rows[0]["bits"]))
+    agree = frame.select(neardup._agreeing([F.col("a")[i] for i in longs], [F.col("b")[i] for i in longs], hashes)).first()[0]
     chance = 2.0**-neardup.BITS
     exact = len(set(neardup.shingles(texts[0])) & set(neardup.shingles(texts[1]))) / len(
         set(neardup.shingles(texts[0])) | set(neardup.shingles(texts[1]))
@@ -144,7 +229,8 @@ def test_parities_never_rule_out_linked_sets(spark):
         linked += near
         rows.append((neardup.parity(x).tolist(), neardup.parity(y).tolist(), len(x) + len(y), near))
     frame = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, total int, near boolean")
-    may = neardup._may_link(F.col("a"), F.col("b"), F.col("total"), 75)
+    longs = range(neardup.PARITY_LONGS)
+    may = neardup._may_link([F.col("a")[i] for i in longs], [F.col("b")[i] for i in longs], F.col("total"), 75)
     assert linked > 20 and frame.filter(F.col("near") & ~may).count() == 0
     assert frame.filter(~may).count() > 5
 
