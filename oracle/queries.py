@@ -329,6 +329,63 @@ def _audit() -> str:
     )
 
 
+def _time_rollup() -> str:
+    return _with(
+        [],
+        f"""SELECT CAST(GROUPING(y) + GROUPING(q) + GROUPING(m) AS BIGINT) AS grain, {big('y')} AS "year", {big('q')} AS "quarter",
+       CAST(m AS VARCHAR) AS "month", {RUNS}, {UNITS} AS total_units_produced, {DEFECTS}, {RATE}, {EFFICIENCY}, {DOWNTIME}
+FROM (SELECT *, year(run_date) AS y, quarter(run_date) AS q, CAST(date_trunc('month', run_date) AS DATE) AS m
+      FROM production_runs) r
+GROUP BY ROLLUP (y, q, m)""",
+    )
+
+
+SHARES = {"p10": "0.1", "median": "0.5", "p90": "0.9", "p99": "0.99"}
+SPEED = "(SELECT *, CAST(actual_units AS DOUBLE) / CAST(downtime_mins + 1 AS DOUBLE) AS speed FROM production_runs)"
+
+
+def _quantiles() -> str:
+    columns = ", ".join(f"quantile_disc(speed, {share}) AS {name}" for name, share in SHARES.items())
+    return _with([], f"SELECT plant_id, shift, {columns} FROM {SPEED} WHERE speed IS NOT NULL GROUP BY plant_id, shift")
+
+
+def _yearly_quantiles() -> str:
+    return _with(
+        [],
+        _union(
+            [
+                f"""SELECT {big('year(run_date)')} AS "year", CAST({share} AS DOUBLE) AS share, count(speed) AS total,
+       quantile_disc(speed, {share}) AS exact, TRUE AS bounded, TRUE AS rank_error_ok
+FROM {SPEED} WHERE speed IS NOT NULL GROUP BY 1"""
+                for share in SHARES.values()
+            ]
+        ),
+    )
+
+
+def _distinct_by_year() -> str:
+    counted = {"runs": "run_id", "plants": "plant_id", "products": "product_id", "operators": "operator"}
+    return _with(
+        [],
+        _union(
+            [
+                f"""SELECT {big('year(run_date)')} AS "year", '{name}' AS counted, count(DISTINCT {column}) AS exact, TRUE AS within
+FROM production_runs GROUP BY 1"""
+                for name, column in counted.items()
+            ]
+        ),
+    )
+
+
+REJECTED = """SELECT run_id, plant_id, product_id, reason FROM (
+  SELECT r.run_id, r.plant_id, r.product_id,
+         CASE WHEN p.plant_id IS NULL THEN 'unknown_plant' WHEN d.product_id IS NULL THEN 'unknown_product'
+              WHEN NOT coalesce(p.is_active, FALSE) THEN 'inactive_plant'
+              WHEN NOT coalesce(d.is_active, FALSE) THEN 'inactive_product' END AS reason
+  FROM production_runs r LEFT JOIN plants p ON r.plant_id = p.plant_id LEFT JOIN products d ON r.product_id = d.product_id)
+WHERE reason IS NOT NULL"""
+
+
 def _queries() -> dict[str, str]:
     return {
         "table_row_counts": _row_counts(),
@@ -408,6 +465,14 @@ FROM (SELECT * FROM ({RANKED}) ORDER BY {RANK_ORDER} LIMIT 20)""",
             WHEN 2 THEN 'a' || chr(10) || 'b"c, ' || chr(13) || chr(10) || operator ELSE operator END AS operator)
 FROM run_extract"""
         ),
+        "time_rollup": _time_rollup(),
+        "output_quantiles": _quantiles(),
+        "output_quantiles_by_year": _yearly_quantiles(),
+        "distinct_by_year": _distinct_by_year(),
+        "rejected_runs": _with([], REJECTED),
+        "bucketed_quality_rollup": _with([ROLLUP], "SELECT * FROM quality_rollup"),
+        "bucketed_run_extract": _on_extract("SELECT * FROM run_extract"),
+        "bucketed_pass_rate": _with([], BY_CATEGORY),
         "defect_coverage": _on_extract(
             f"""SELECT count(*) AS row_count, count(defect_rate_pct) AS with_defect_rate,
        {pct('count(defect_rate_pct)', 'count(*)')} AS coverage_pct,

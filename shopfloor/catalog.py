@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shopfloor.plans import analyses, explore, extract, profile, rankings, reports, validate
+from shopfloor.plans import analyses, explore, extract, profile, rankings, reports, sketches, validate
 from shopfloor.sources.tables import Tables
 
 
@@ -51,6 +51,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "downtime_vs_yield": analyses.downtime_vs_yield,
     "top_run_conditions": analyses.top_run_conditions,
     "monthly_trend": analyses.monthly_trend,
+    "time_rollup": analyses.time_rollup,
+    "output_quantiles": analyses.output_quantiles,
+    "output_quantiles_by_year": analyses.output_quantiles_by_year,
+    "distinct_by_year": lambda tables: sketches.distinct_by_year(tables).drop("estimate"),
+    "distinct_estimates": lambda tables: sketches.estimates(sketches.monthly_sketches(tables)),
+    "rejected_runs": validate.rejected_runs,
 }
 
 

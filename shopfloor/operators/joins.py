@@ -88,8 +88,9 @@ def attach(
     keys_from: DataFrame | None = None,
     slice_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Inner or left join of ``facts`` with ``lookup`` on equally named ``keys``.
+    """Inner, left, left-semi or left-anti join of ``facts`` with ``lookup`` on equally named ``keys``.
 
+    A row with a NULL key matches nothing unless the key is in ``null_safe``, so an anti join keeps it.
     A lookup whose measured size is within bounds is broadcast. Otherwise both sides are shuffled,
     with the rows of hot keys spread over slices by a hash of the row and the lookup rows of those
     keys repeated once per slice. Nothing is dropped on either way. Hot keys are counted in

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from shopfloor.functions.numeric import hundredths, mean_of_hundredths, ratio, row_ratio, sum_of_hundredths
 from shopfloor.functions.ordering import pg_asc
+from shopfloor.operators import quantiles
 from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach, materialize_measured
 from shopfloor.operators.ranking import count_cells, rank_cells
 from shopfloor.plans.extract import latest_equipment
-from shopfloor.plans.reports import add_parts, average_efficiency, defect_rate, pass_rate_by_category, run_parts
+from shopfloor.plans.reports import PARTS, add_parts, average_efficiency, defect_rate, pass_rate_by_category, run_parts
 from shopfloor.sources.tables import Tables
 
 TOP_RANK = 10
@@ -43,6 +44,75 @@ def monthly_trend(tables: Tables) -> DataFrame:
     )
 
 
+def time_rollup(tables: Tables) -> DataFrame:
+    """Runs by month, quarter, year and in all: (grain, year, quarter, month, figures), ``grain`` 0 for a month to 3 for all.
+
+    The runs are added up by month once; the coarser rows add up those, few as they are. Runs
+    without a date have NULL for all three at grain 0, 1 and 2.
+    """
+    month = F.trunc("run_date", "month").alias("month")
+    parts = run_parts(tables.production_runs, month).withColumns({"year": F.year("month"), "quarter": F.quarter("month")})
+    grain = F.grouping("year") + F.grouping("quarter") + F.grouping("month")
+    rolled = parts.rollup("year", "quarter", "month").agg(grain.cast("int").alias("grain"), *[F.sum(name).alias(name) for name in PARTS])
+    return rolled.select(
+        "grain",
+        "year",
+        "quarter",
+        "month",
+        F.coalesce("total_runs", F.lit(0)).alias("total_runs"),
+        F.col("units").alias("total_units_produced"),
+        F.col("defects").alias("total_defects"),
+        defect_rate(),
+        average_efficiency(),
+        F.col("downtime").alias("total_downtime_mins"),
+    )
+
+
+#: Shares of the ranks that the distribution reports show.
+SHARES = {"p10": Decimal("0.1"), "median": Decimal("0.5"), "p90": Decimal("0.9"), "p99": Decimal("0.99")}
+
+
+def _measured(tables: Tables) -> DataFrame:
+    """Units a minute of downtime, a ratio with as many distinct values as runs."""
+    speed = F.col("actual_units").cast("double") / (F.col("downtime_mins") + 1).cast("double")
+    return tables.production_runs.select("plant_id", "shift", F.trunc("run_date", "month").alias("month"), speed.alias("speed"))
+
+
+def output_quantiles(tables: Tables) -> DataFrame:
+    """(plant_id, shift, p10, median, p90, p99): exact quantiles of the units made per minute of downtime and one.
+
+    From a summary in cells and a second look at the few cells that hold the quantiles; no task sorts
+    the runs of a plant.
+    """
+    keys, runs = ["plant_id", "shift"], _measured(tables)
+    found = quantiles.exact(runs, quantiles.summarize(runs, keys, "speed"), keys, "speed", list(SHARES.values()))
+    columns = [F.max(F.when(F.col("share") == F.lit(share), F.col("value"))).alias(name) for name, share in SHARES.items()]
+    return found.groupBy(*keys).agg(*columns)
+
+
+def output_quantiles_by_year(tables: Tables) -> DataFrame:
+    """(year, share, total, exact, bounded, rank_error_ok): quantiles of whole years from merged monthly summaries.
+
+    ``bounded`` says whether the exact value lies within the merged summary's bounds, ``rank_error_ok``
+    whether these are no further than a fiftieth of the ranks off.
+    """
+    runs = _measured(tables).withColumn("year", F.year("month"))
+    monthly = quantiles.summarize(runs, ["month"], "speed")
+    yearly = quantiles.merge(monthly.withColumn("year", F.year("month")), ["year"])
+    shares = list(SHARES.values())
+    bounds = quantiles.bounds(yearly, ["year"], shares)
+    exact = quantiles.exact(runs, yearly, ["year"], "speed", shares).withColumnsRenamed({"year": "_year", "share": "_share"})
+    same = F.col("year").eqNullSafe(F.col("_year")) & (F.col("share") == F.col("_share"))
+    return bounds.join(exact, same).select(
+        "year",
+        F.col("share").cast("double").alias("share"),
+        "total",
+        F.col("value").alias("exact"),
+        F.col("value").between(F.col("low"), F.col("high")).alias("bounded"),
+        (F.col("rank_error") <= 0.02).alias("rank_error_ok"),
+    )
+
+
 def _pearson(n: Column, x: Column, y: Column, xx: Column, yy: Column, xy: Column) -> Column:
     """Correlation from sums held as whole decimals, so that the differences lose nothing."""
     root = F.sqrt((n * xx - x * x).cast("double")) * F.sqrt((n * yy - y * y).cast("double"))

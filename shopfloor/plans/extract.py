@@ -122,19 +122,29 @@ def _with_rollup(runs: DataFrame, checks: DataFrame) -> DataFrame:
     return keyed.join(rollup, (F.col("_key") == F.col("_run")) & F.col("run_id").isNotNull(), "left").drop("_key", "_run")
 
 
+def with_yield(runs: DataFrame) -> DataFrame:
+    return runs.withColumn("yield_pct", row_ratio(F.col("actual_units"), F.col("planned_units"), percent=True))
+
+
 def keyed_extract(
     tables: Tables, as_of: datetime.date | None = None, limits: JoinLimits = DEFAULT_LIMITS
 ) -> DataFrame:
     """The extract's columns and ``plant_id``, in no order.
 
     The checks are joined first, while the run rows are narrow; plant and product attributes are
-    added last, without a further shuffle where they fit a broadcast. The plant context comes from
-    a window over the equipment, so it is written once before its size is measured.
+    added last, without a further shuffle where they fit a broadcast.
     """
-    runs = tables.production_runs.withColumn(
-        "yield_pct", row_ratio(F.col("actual_units"), F.col("planned_units"), percent=True)
-    )
-    with_checks = _with_rollup(runs, tables.quality_checks)
+    return extended(_with_rollup(with_yield(tables.production_runs), tables.quality_checks), tables, as_of, limits)
+
+
+def extended(
+    with_checks: DataFrame, tables: Tables, as_of: datetime.date | None = None, limits: JoinLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    """Runs that carry their rolled-up checks, with plant, product and machine: the extract's columns and ``plant_id``.
+
+    The plant context comes from a window over the equipment, so it is written once before its size is measured.
+    """
+    runs = tables.production_runs
     context = materialize_measured(_plant_context(tables, as_of), "plant-context")
     with_plants = attach(with_checks, context, ["plant_id"], limits=limits, keys_from=runs, slice_by=ROW)
     joined = attach(with_plants, _active_products(tables), ["product_id"], limits=limits, keys_from=runs, slice_by=ROW)

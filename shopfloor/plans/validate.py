@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor.functions.numeric import percent
+from shopfloor.operators.joins import DEFAULT_LIMITS, JoinLimits, attach
 from shopfloor.plans.profile import null_counts
 from shopfloor.schemas import EXTRACT
 from shopfloor.sources.tables import Tables
@@ -59,6 +60,30 @@ def completeness(tables: Tables, extract: DataFrame) -> DataFrame:
     return fates.unpivot([], columns, "metric", "runs").unionByName(counted)
 
 
+def rejected_runs(tables: Tables, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
+    """The runs that the extract leaves out: (run_id, plant_id, product_id, reason), a row for each.
+
+    Reasons are those of ``completeness``, in its order. Runs are told from those kept by anti joins
+    with the active plants and products; only what these leave is looked up again for the reason.
+    """
+    runs = tables.production_runs.select("run_id", "plant_id", "product_id")
+    active = lambda dimension, key: dimension.filter("is_active").select(key).distinct()
+    plants, products = active(tables.plants, "plant_id"), active(tables.products, "product_id")
+    anti = {"how": "left_anti", "limits": limits, "slice_by": ["run_id"]}
+    without_plant = attach(runs, plants, ["plant_id"], **anti)
+    with_plant = attach(runs, plants, ["plant_id"], **(anti | {"how": "left_semi"}))
+    lost = without_plant.unionByName(attach(with_plant, products, ["product_id"], **anti))
+    for dimension, key, name in ((tables.plants, "plant_id", "plant"), (tables.products, "product_id", "product")):
+        lost = attach(lost, _known(dimension, key, name), [key], "left", limits=limits, slice_by=["run_id"])
+    reason = (
+        F.when(F.col("plant_rows").isNull(), "unknown_plant")
+        .when(F.col("product_rows").isNull(), "unknown_product")
+        .when(F.col("plant_active") == 0, "inactive_plant")
+        .otherwise("inactive_product")
+    )
+    return lost.select("run_id", "plant_id", "product_id", reason.alias("reason"))
+
+
 def fan_out(tables: Tables, extract: DataFrame) -> DataFrame:
     """Duplicate keys: (relation, row_count, distinct_keys, repeated_keys), for dimensions, runs and extract."""
     relations = {

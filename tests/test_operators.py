@@ -3,7 +3,6 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from frames import PLANTS, d, tables
@@ -41,6 +40,18 @@ def test_attach_equals_plain_join(spark, how, limits):
     same(attach(facts(spark), lookup(spark), ["k"], how, limits=limits), expected)
 
 
+@pytest.mark.parametrize("how", ["left_anti", "left_semi"])
+@pytest.mark.parametrize("null_safe", [(), ("k",)])
+@pytest.mark.parametrize("limits", [JoinLimits(), SLICED])
+def test_anti_and_semi_join_equal_plain_ones(spark, how, null_safe, limits):
+    """A NULL key matches nothing, or the lookup's NULL where keys are compared null-safe."""
+    other = lookup(spark).withColumnRenamed("k", "k2")
+    same_key = F.col("k").eqNullSafe(F.col("k2")) if null_safe else F.col("k") == F.col("k2")
+    got = attach(facts(spark), lookup(spark), ["k"], how, null_safe=null_safe, limits=limits)
+    same(got, facts(spark).join(other, same_key, how))
+    assert 0 < got.count() < facts(spark).count()
+
+
 @pytest.mark.parametrize("limits", [JoinLimits(), SLICED])
 def test_attach_on_two_keys_with_null(spark, limits):
     cells = facts(spark).groupBy("k", "e").agg(F.count(F.lit(1)).alias("n"))

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frames import AS_OF, PLANTS, RUNS, d, day, keyed, tables
+from shopfloor.operators.joins import JoinLimits
 from shopfloor.plans import extract, profile, validate
 from shopfloor.schemas import EXTRACT
 
@@ -90,3 +91,20 @@ def test_dtype_check(spark):
 def test_defect_coverage(made):
     row = validate.defect_coverage(made).first()
     assert (row.row_count, row.with_defect_rate, row.coverage_pct, row.sufficient) == (6, 2, d("33.33"), False)
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), JoinLimits(broadcast_bytes=0, broadcast_rows=0, slice_rows=40)])
+def test_rejected_runs_with_a_hot_unknown_plant_and_missing_ids(spark, limits):
+    more = [(1000 + i, 99, 100, day(5), "Night", "F", 10, 10, 0, None, 1) for i in range(300)]
+    more += [(2000 + i, None, 100, day(5), "Night", "F", 10, 10, 0, None, 1) for i in range(200)]
+    more += [(3000 + i, 10, None, None, "Night", "F", 10, 10, 0, None, 1) for i in range(50)] + [(None, 12, 102, None, "N", "F", 1, 1, 0, None, 1)]
+    made = tables(spark, production_runs=RUNS + more, plants=PLANTS + [PLANTS[0]])
+    found = validate.rejected_runs(made, limits).collect()
+    reasons = {}
+    for r in found:
+        reasons.setdefault(r["reason"], []).append(r["run_id"])
+    assert sorted(reasons["unknown_plant"]) == [6, 12, *range(1000, 1300), *range(2000, 2200)]
+    assert sorted(reasons["unknown_product"]) == [7, *range(3000, 3050)]
+    assert sorted(x or -1 for x in reasons["inactive_plant"]) == [-1, 8, 9] and reasons["inactive_product"] == [10]
+    counted = keyed(validate.completeness(made, extract.run_extract(made, AS_OF, ordered=False)), "metric")
+    assert {k: len(v) for k, v in reasons.items()} == {k: counted[k]["runs"] for k in reasons}

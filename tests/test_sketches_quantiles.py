@@ -1,0 +1,123 @@
+"""Mergeable summaries: distinct counts, quantiles, and roll-ups over time."""
+
+import datetime
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import RUNS, day, keyed, tables
+from shopfloor.operators import quantiles
+from shopfloor.plans import analyses, sketches
+from shopfloor.sources.samples import from_samples
+
+SHARES = [Decimal("0.01"), Decimal("0.25"), Decimal("0.5"), Decimal("0.9"), Decimal("0.999"), Decimal("1")]
+
+
+def test_estimates_of_any_period_are_within_their_error(spark):
+    """The larger sample has ten thousands of runs, far more than a sketch counts exactly."""
+    sample = from_samples(spark, "/root/testdata/sf0.1")
+    runs = sample.production_runs
+    monthly = sketches.monthly_sketches(sample).cache()
+    for first, last in ((1992, 1998), (1993, 1993), (1994, 1996)):
+        found = sketches.distinct_between(monthly, datetime.date(first, 1, 9), datetime.date(last, 12, 31)).first()
+        inside = runs.filter(F.year("run_date").between(first, last))
+        for name, column in sketches.COUNTED.items():
+            exact = inside.select(column).distinct().filter(F.col(column).isNotNull()).count()
+            assert abs(found[name] - exact) <= 4 * sketches.relative_error() * exact + 1
+    assert sketches.distinct_between(monthly, datetime.date(1950, 1, 1), datetime.date(1950, 2, 1)).first()["runs"] in (None, 0)
+
+
+def test_sketches_merged_in_any_order_stay_within_their_error(spark):
+    sample = from_samples(spark, "/root/testdata/sf0.01")
+    monthly = sketches.monthly_sketches(sample)
+    exact = {name: sample.production_runs.select(column).na.drop().distinct().count() for name, column in sketches.COUNTED.items()}
+    rows = monthly.collect()
+    for seed in (1, 2, 3):
+        random.Random(seed).shuffle(rows)
+        mixed = spark.createDataFrame(rows, monthly.schema).repartition(seed * 3)
+        found = sketches.estimates(sketches.merged(sketches.merged(mixed, F.month("month").alias("m")))).first()
+        for name, n in exact.items():
+            assert abs(found[name] - n) <= 4 * sketches.relative_error() * n + 1
+
+
+def test_distinct_counts_of_missing_dates_and_ids(spark):
+    found = keyed(sketches.distinct_by_year(tables(spark)), "year", "counted")
+    assert (found[None, "runs"]["exact"], found[None, "plants"]["exact"]) == (1, 1)
+    assert (found[2024, "runs"]["exact"], found[2024, "plants"]["exact"], found[2024, "products"]["exact"]) == (11, 5, 4)
+    assert all(r["within"] and r["estimate"] == r["exact"] for r in found.values())
+
+
+def plain_quantile(values, share):
+    return sorted(values)[max(1, math.ceil(len(values) * share)) - 1]
+
+
+def values(kind):
+    rng = random.Random(8)
+    if kind == "wide":
+        return [rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 12) for _ in range(3000)]
+    if kind == "close":
+        return [1e6 + rng.random() for _ in range(3000)]
+    if kind == "hot":
+        return [5.0] * 2000 + [rng.uniform(-1, 1) for _ in range(900)] + [0.0] * 100
+    return [2.0 ** rng.randrange(-70, 60) * rng.choice([1, -1, 1 - 2**-53]) for _ in range(2000)]
+
+
+@pytest.mark.parametrize("kind", ["wide", "close", "hot", "powers"])
+def test_quantiles_against_sorted_values(spark, kind):
+    data = values(kind)
+    rows = [(i % 3, x) for i, x in enumerate(data)] + [(0, None), (1, float("nan")), (2, float("inf")), (3, None)]
+    df = spark.createDataFrame(rows, "k int, x double").repartition(5)
+    summary = quantiles.summarize(df, ["k"], "x")
+    exact = {(r["k"], r["share"]): r["value"] for r in quantiles.exact(df, summary, ["k"], "x", SHARES).collect()}
+    bounds = {(r["k"], r["share"]): r for r in quantiles.bounds(summary, ["k"], SHARES).collect()}
+    assert set(exact) == set(bounds) == {(k, s.quantize(Decimal("1e-8"))) for k in range(3) for s in SHARES}
+    for (k, share), found in exact.items():
+        own = [x for i, x in enumerate(data) if i % 3 == k]
+        assert found == plain_quantile(own, share)
+        low, high, error = (bounds[k, share][c] for c in ("low", "high", "rank_error"))
+        assert low <= found <= high
+        off = max(sum(low <= x < found for x in own), sum(found < x <= high for x in own))
+        assert off <= error * len(own) + 1e-9
+
+
+def test_cells_are_in_the_order_of_their_values(spark):
+    data = sorted({x for kind in ("wide", "close", "hot", "powers") for x in values(kind)})
+    df = spark.createDataFrame([(x,) for x in data], "x double")
+    cells = [r["c"] for r in df.select("x", quantiles.cell_of(F.col("x")).alias("c")).orderBy("x").collect()]
+    assert cells == sorted(cells)
+
+
+def test_summaries_merge_in_any_order_and_bound_the_ranks(spark):
+    """At the larger sample, bounds of all runs from monthly summaries are a fiftieth of the ranks wide at most."""
+    runs = analyses._measured(from_samples(spark, "/root/testdata/sf0.1")).withColumn("all", F.lit(1))
+    monthly = quantiles.summarize(runs, ["month"], "speed")
+    whole = quantiles.summarize(runs, ["all"], "speed")
+    rows = monthly.collect()
+    for seed in (3, 4):
+        random.Random(seed).shuffle(rows)
+        mixed = spark.createDataFrame(rows, monthly.schema).repartition(seed)
+        again = quantiles.merge(quantiles.merge(mixed, ["month"]).withColumn("all", F.lit(1)), ["all"])
+        assert again.exceptAll(whole.select(*again.columns)).isEmpty() and again.count() == whole.count()
+    assert whole.count() < 0.1 * runs.select("speed").distinct().count()
+    for r in quantiles.bounds(whole, ["all"], SHARES).collect():
+        assert r["rank_error"] <= 0.02
+
+
+def test_quantiles_of_decimals_and_no_rows(spark):
+    df = spark.createDataFrame([(Decimal(i) / 100,) for i in range(-50, 51)], "x decimal(18,2)")
+    summary = quantiles.summarize(df, [], "x")
+    assert quantiles.exact(df, summary, [], "x", [Decimal("0.5")]).first()["value"] == Decimal("0.00")
+    assert quantiles.exact(df.limit(0), summary.limit(0), [], "x", SHARES).count() == 0
+
+
+def test_time_rollup_levels(spark):
+    more = [(20, 10, 100, datetime.date(2023, 11, 5), "Night", "A", 10, 10, 5, None, 3)]
+    rows = analyses.time_rollup(tables(spark, production_runs=RUNS + more)).collect()
+    found = {(r["grain"], r["year"], r["quarter"], r["month"]): r["total_runs"] for r in rows}
+    assert found[3, None, None, None] == 13 and found[2, 2024, None, None] == 11 and found[1, 2023, 4, None] == 1
+    assert found[0, 2024, 1, day(1)] == 11 and found[0, None, None, None] == 1 and found[2, None, None, None] == 1
+    for grain in range(3):
+        assert sum(n for key, n in found.items() if key[0] == grain) == 13
