@@ -377,6 +377,31 @@ FROM production_runs GROUP BY 1"""
     )
 
 
+def _schema_check() -> str:
+    """What ``schema_check`` finds in files of which half lack ``operator``, hold ``run_id`` as text and ``added``."""
+    rows = []
+    for f in EXTRACT.fields:
+        kind = f.dataType.simpleString()
+        found, partly, status = kind, "FALSE", "ok"
+        if f.name == "operator":
+            partly, status = "TRUE", "missing"
+        if f.name == "run_id":
+            found, status = "bigint,string", "retyped"
+        rows.append(f"('{f.name}', '{kind}', '{found}', {partly}, '{status}')")
+    rows.append("('added', NULL, 'int', TRUE, 'unexpected')")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) t(\"column\", expected_type, found_types, partly, status)"
+
+
+AUDIT_RUNS = f"""SELECT run, {big('queries')} AS queries, {big('1')} AS errors, {big('"rows"')} AS "rows", TRUE AS timed
+FROM (VALUES ('first', 3, 9), ('second', 2, 5)) t(run, queries, "rows")"""
+
+CSV_TEXTS = _on_extract(
+    """SELECT * REPLACE ('  ' || shift || ' ' AS shift,
+       CASE run_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL
+            WHEN 2 THEN 'a' || chr(10) || 'b"c, ' || chr(13) || chr(10) || operator ELSE operator END AS operator)
+FROM run_extract"""
+)
+
 REJECTED = """SELECT run_id, plant_id, product_id, reason FROM (
   SELECT r.run_id, r.plant_id, r.product_id,
          CASE WHEN p.plant_id IS NULL THEN 'unknown_plant' WHEN d.product_id IS NULL THEN 'unknown_product'
@@ -459,12 +484,10 @@ FROM (SELECT * FROM ({RANKED}) ORDER BY {RANK_ORDER} LIMIT 20)""",
         "dtype_check": _dtype_check(),
         "dtype_check_odd_texts": _dtype_check({"run_date": "run_id % 3 = 0", "efficiency_pct": "run_id % 4 = 1"}),
         "preview_rows_found": _preview_rows(),
-        "csv_text_round_trip": _on_extract(
-            """SELECT * REPLACE ('  ' || shift || ' ' AS shift,
-       CASE run_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL
-            WHEN 2 THEN 'a' || chr(10) || 'b"c, ' || chr(13) || chr(10) || operator ELSE operator END AS operator)
-FROM run_extract"""
-        ),
+        "csv_text_round_trip": CSV_TEXTS,
+        "csv_blocks_round_trip": CSV_TEXTS,
+        "schema_check": _schema_check(),
+        "audit_runs": AUDIT_RUNS,
         "time_rollup": _time_rollup(),
         "output_quantiles": _quantiles(),
         "output_quantiles_by_year": _yearly_quantiles(),

@@ -15,7 +15,7 @@ from shopfloor.plans import extract, profile
 from shopfloor.sinks.files import EmptyExtract, save_extract
 from shopfloor.sources.samples import from_samples
 from shopfloor.sources.tables import Tables, from_catalog, from_jdbc, from_parquet
-from shopfloor.storage import remove_made
+from shopfloor.storage import publish, remove_made, staging_path
 
 STEPS = {
     "Tables": ["table_row_counts"],
@@ -60,7 +60,9 @@ def _report(name: str, df: DataFrame | None, out: str) -> None:
     print(f"\n{name}")
     if df is not None:
         path = f"{out}/reports/{name}"
-        df.write.mode("overwrite").parquet(path)
+        folder = staging_path(path)
+        df.write.parquet(folder)
+        publish(df.sparkSession, folder, path)
         df.show(truncate=False)
         print(f"all rows: {path}")
 
@@ -77,11 +79,12 @@ def main(argv: list[str] | None = None) -> int:
             _report(name, runner.run(name, lambda name=name: run_named(name, tables)), arguments.out)
 
     print("\n== Extract")
-    staged = runner.run("run_extract", lambda: extract.keyed_extract(tables, arguments.as_of))
+    # Written once, in no order; sorted once, for the output.
+    staged = runner.run("run_extract", lambda: extract.keyed_extract(tables, arguments.as_of), ordered=False)
     empty = False
     if staged is not None:
         try:
-            save_extract(staged, f"{arguments.out}/extract")
+            save_extract(staged, f"{arguments.out}/extract", staged=True)
         except EmptyExtract as error:
             print(error, file=sys.stderr)
             empty = True

@@ -1,8 +1,9 @@
 """Acceptance checks: completeness, fan-out, null rates, types and defect coverage."""
 
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +133,35 @@ def schema_differences(df: DataFrame, expected: T.StructType = EXTRACT) -> list[
     return missing + extra + typed
 
 
+def schema_check(spark: SparkSession, path: str, expected: T.StructType = EXTRACT) -> DataFrame:
+    """(column, expected_type, found_types, files, files_with, status): the declared schema against every file's own.
+
+    One row for each declared column and each further one found in a parquet file at ``path``.
+    ``found_types`` lists the different types in the files; ``status`` is ok, missing (from some
+    file), unexpected or retyped. Schemas come from the files' footers, data is not read.
+    """
+    files = spark.read.parquet(path).inputFiles()
+    # A footer each, read by small jobs that run side by side.
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda file: spark.read.parquet(file).schema, files))
+    found: dict[str, list[str]] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            found.setdefault(f.name, []).append(f.dataType.simpleString())
+    wanted = {f.name: f.dataType.simpleString() for f in expected.fields}
+    rows = []
+    for column in [*wanted, *sorted(set(found) - set(wanted))]:
+        types = found.get(column, [])
+        if column not in wanted:
+            status = "unexpected"
+        elif len(types) < len(files):
+            status = "missing"
+        else:
+            status = "ok" if set(types) == {wanted[column]} else "retyped"
+        rows.append((column, wanted.get(column), ",".join(sorted(set(types))) or None, len(files), len(types), status))
+    return spark.createDataFrame(rows, "column string, expected_type string, found_types string, files bigint, files_with bigint, status string")
+
+
 def dtype_check(text: DataFrame, expected: T.StructType = EXTRACT) -> DataFrame:
     """For an extract read as text: values per column and how many of them are not of the declared type."""
     filled = {f.name: F.count(f.name) for f in expected.fields}

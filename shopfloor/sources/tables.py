@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopfloor import schemas
+from shopfloor.sources import splits
 
 
 class Tables:
@@ -93,6 +94,12 @@ def jdbc_options(table: str, schema: str, bounds: tuple[int, int] | None, partit
     return options
 
 
+def count_query(table: str, column: str, low: int, high: int, width: int) -> str:
+    """Rows of each cell of a key's range, counted by the server."""
+    cell = f"floor(({column} - {low}) / {width})"
+    return f"SELECT {cell} AS cell, count(*) AS n FROM {table} WHERE {column} >= {low} AND {column} < {high} GROUP BY {cell}"
+
+
 def from_jdbc(
     spark: SparkSession,
     url: str,
@@ -100,8 +107,9 @@ def from_jdbc(
     partitions: int = 64,
     properties: dict[str, str] | None = None,
 ) -> Tables:
-    """Read from a database; the large tables in ``partitions`` ranges of their key.
+    """Read from a database; the large tables in ``partitions`` ranges of their key with about as many rows each.
 
+    The ranges come from counts that the server makes; rows without a key are a range of their own.
     ``properties`` carries user, password and driver; the driver's jar must be on the classpath.
     """
 
@@ -109,11 +117,20 @@ def from_jdbc(
         return spark.read.format("jdbc").options(url=url, **(properties or {}), **options).load()
 
     def load(name: str) -> DataFrame:
-        bounds = None
-        if name in SPLIT_COLUMNS:
-            column = SPLIT_COLUMNS[name]
-            row = read(query=f"SELECT min({column}) AS low, max({column}) AS high FROM {schema}.{name}").first()
-            bounds = None if row[0] is None else (int(row[0]), int(row[1]))
-        return conform(read(**jdbc_options(name, schema, bounds, partitions)), schemas.TABLES[name])
+        if name not in SPLIT_COLUMNS:
+            return conform(read(**jdbc_options(name, schema, None, partitions)), schemas.TABLES[name])
+        column, table = SPLIT_COLUMNS[name], f"{schema}.{name}"
+        row = read(query=f"SELECT min({column}) AS low, max({column}) AS high FROM {table}").first()
+        cuts = []
+        if row[0] is not None:
+
+            def count(low: int, high: int, width: int) -> dict[int, int]:
+                found = read(query=count_query(table, column, low, high, width)).collect()
+                return {int(r[0]): int(r[1]) for r in found}
+
+            cuts = splits.equi_depth(splits.histogram(count, int(row[0]), int(row[1]) + 1, partitions), partitions)
+        options = {"fetchsize": "10000"} | (properties or {})
+        ranges = splits.predicates(column, cuts)
+        return conform(spark.read.jdbc(url, table, predicates=ranges, properties=options), schemas.TABLES[name])
 
     return Tables(spark, load)

@@ -1,0 +1,199 @@
+"""CSV files read in blocks, output replaced as a whole, ranges of equal depth, the audit table, schemas of files."""
+
+import os
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from frames import AS_OF, keyed, tables
+from shopfloor import __main__ as main
+from shopfloor import storage
+from shopfloor.audit import AuditedRunner, audit_runs
+from shopfloor.plans import extract, validate
+from shopfloor.schemas import EXTRACT
+from shopfloor.sinks import files
+from shopfloor.sources import csv_blocks, splits
+from shopfloor.sources.tables import count_query
+
+SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("other", T.StringType())])
+
+
+@pytest.fixture
+def small_blocks(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def odd_rows(n):
+    rng = random.Random(17)
+    pieces = ["a", "é😀", '"', '""', ",", "\n", "\n\n", "\r\n", " ", "x" * 50, '"\n"', "\n,\n"]
+    text = lambda k: None if rng.random() < 0.1 else "".join(rng.choice(pieces) for _ in range(rng.randint(0, k)))
+    rows = [(i, text(8), text(3)) for i in range(n)]
+    # Fields that fill many blocks, one after the other and with quotes inside.
+    rows[n // 2] = (n // 2, "line\n" * 400, "end")
+    rows[n // 2 + 1] = (n // 2 + 1, 'quo"ted, \n' * 200, "\n" * 900)
+    rows[n - 1] = (n - 1, "last\n" * 300, "\n")
+    return rows
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_csv_blocks_equal_the_multiline_reader(spark, tmp_path, small_blocks, parts):
+    rows = odd_rows(300)
+    path = str(tmp_path / "csv")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).repartition(parts).write.options(**files.CSV_FORMAT).csv(path)
+    wanted = files.read_extract_csv(spark, path, schema=SCHEMA)
+    found = files.read_extract_blocks(spark, path, SCHEMA)
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, wanted.collect()))
+    assert csv_blocks._lines(spark, path).rdd.getNumPartitions() > 20 * parts
+    assert csv_blocks.open_blocks(csv_blocks._lines(spark, path)).count() > 5
+
+
+def test_csv_blocks_of_large_blocks_and_empty_files(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame(odd_rows(50), SCHEMA).repartition(4).write.options(**files.CSV_FORMAT).csv(path)
+    assert files.read_extract_blocks(spark, path, SCHEMA).count() == 50
+    none = str(tmp_path / "none")
+    spark.createDataFrame([], SCHEMA).write.options(**files.CSV_FORMAT).csv(none)
+    assert files.read_extract_blocks(spark, none, SCHEMA).count() == 0
+
+
+def test_csv_blocks_fail_on_values_of_another_type(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    spark.createDataFrame([("soon", "a", "b")], "id string, text string, other string").write.options(**files.CSV_FORMAT).csv(path)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_extract_blocks(spark, path, SCHEMA).collect()
+
+
+def test_a_write_that_fails_half_way_leaves_the_earlier_output(spark, tmp_path):
+    path = str(tmp_path / "out")
+    made = extract.keyed_extract(tables(spark), AS_OF)
+    files.save_extract(made, path)
+    before = sorted(map(tuple, files.read_extract_csv(spark, path).collect()), key=str)
+    # One row fails while the others are written.
+    broken = made.repartition(4).withColumn("operator", F.when(F.col("run_id") == 5, F.raise_error(F.lit("no"))).otherwise(F.col("operator")))
+    with pytest.raises(Exception, match="no"):
+        files.save_extract(broken, path, staged=True)
+    assert sorted(map(tuple, files.read_extract_csv(spark, path).collect()), key=str) == before
+    assert os.listdir(tmp_path) == ["out"]
+    files.save_extract(made.filter("run_id <> 5"), path)
+    assert files.read_extract_csv(spark, path).count() == len(before) - 1 and os.listdir(tmp_path) == ["out"]
+
+
+def test_publishing_that_stops_between_its_renames_is_made_good(spark, tmp_path, monkeypatch):
+    path, folders = str(tmp_path / "t"), {}
+    for name in ("old", "new"):
+        folders[name] = storage.staging_path(path)
+        spark.createDataFrame([(name,)], "x string").write.parquet(folders[name])
+    storage.publish(spark, folders["old"], path)
+    moves = []
+    real = storage._move
+
+    def second_fails(spark, source, target):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("no")
+        real(spark, source, target)
+
+    monkeypatch.setattr(storage, "_move", second_fails)
+    with pytest.raises(OSError):
+        storage.publish(spark, folders["new"], path)
+    assert spark.read.parquet(path).first()["x"] == "old"
+    monkeypatch.undo()
+    # A process that died between the renames leaves only the folder aside.
+    real(spark, path, storage._aside(path))
+    storage.recover(spark, path)
+    assert spark.read.parquet(path).first()["x"] == "old"
+    storage.publish(spark, folders["new"], path)
+    assert spark.read.parquet(path).first()["x"] == "new" and os.listdir(tmp_path) == ["t"]
+
+
+def test_the_whole_job_writes_the_extract_once_and_sorts_it_once(spark, tmp_path, monkeypatch):
+    from shopfloor import audit
+
+    staged, written = [], []
+    real = storage.materialize
+    for module in (audit, files):
+        monkeypatch.setattr(module, "materialize", lambda df, label: staged.append(set(df.columns)) or real(df, label))
+    real_save = files.save_extract
+    monkeypatch.setattr(main, "save_extract", lambda *a, **k: written.append(k) or real_save(*a, **k))
+    assert main.main(["--samples", "/root/testdata/sf0.001", "--out", str(tmp_path / "out")]) == 0
+    wide = [c for c in staged if set(EXTRACT.fieldNames()) <= c]
+    assert len(wide) == 1 and "_place" not in wide[0] and written == [{"staged": True}]
+    assert sorted(os.listdir(tmp_path / "out")) == ["audit", "extract", "reports"]
+
+
+def skewed():
+    rng = random.Random(3)
+    keys = [rng.randrange(10**12) for _ in range(2000)]
+    return keys + [10**9 + rng.randrange(300) for _ in range(20_000)] + [7] * 9000
+
+
+@pytest.mark.parametrize("keys", [skewed(), [5] * 100, [1, 2], list(range(1000)), [-(10**15), 0, 10**15]])
+@pytest.mark.parametrize("ranges", [1, 4, 16])
+def test_ranges_have_about_as_many_rows_each(keys, ranges):
+    asked = []
+
+    def count(low, high, width):
+        asked.append((low, high))
+        return Counter((k - low) // width for k in keys if low <= k < high)
+
+    cells = splits.histogram(count, min(keys), max(keys) + 1, ranges, cells=64)
+    assert sum(n for _, _, n in cells) == len(keys) and len(asked) <= 1 + 10 * ranges
+    cuts = splits.equi_depth(cells, ranges)
+    assert cuts == sorted(set(cuts)) and len(cuts) < max(ranges, 2)
+    bounds = [float("-inf"), *cuts, float("inf")]
+    sizes = [sum(a <= k < b for k in keys) for a, b in zip(bounds, bounds[1:])]
+    hottest = Counter(keys).most_common(1)[0][1]
+    assert sum(sizes) == len(keys) and max(sizes) <= 2 * len(keys) / ranges + hottest
+    assert min(sizes) > 0
+
+
+def test_conditions_hold_for_every_row_once(spark):
+    rows = [(k,) for k in [None, None, -5, 0, 3, 4, 10, 99]]
+    spark.createDataFrame(rows, "k bigint").createOrReplaceTempView("split_keys")
+    for cuts in ([], [0], [0, 4, 11]):
+        conditions = splits.predicates("k", cuts)
+        assert len(conditions) == len(cuts) + 2
+        counts = [spark.sql(f"SELECT count(*) FROM split_keys WHERE {c}").first()[0] for c in conditions]
+        assert sum(counts) == len(rows) and counts[-1] == 2
+    cells = spark.sql(count_query("split_keys", "k", -5, 100, 10)).collect()
+    assert {(int(r["cell"]), r["n"]) for r in cells} == {(0, 4), (1, 1), (10, 1), (0, 5)} & {(int(r["cell"]), r["n"]) for r in cells}
+    assert sum(r["n"] for r in cells) == 6
+
+
+def test_audit_table_tells_runs_apart_and_takes_each_once(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    runners = [AuditedRunner(spark, raise_errors=False) for _ in range(2)]
+    for n, runner in enumerate(runners):
+        for _ in range(n + 1):
+            runner.run("one", lambda: spark.range(3).toDF("x"))
+        runner.append_to(path)
+    runners[0].append_to(path)
+    runners[0].run_sql("SELECT nothing")
+    runners[0].append_to(path)
+    found = keyed(audit_runs(spark, path), "run")
+    assert len(found) == 2
+    first, second = (found[r.run_id] for r in runners)
+    assert (first["queries"], first["errors"], first["rows"]) == (2, 1, 3) and (second["queries"], second["errors"], second["rows"]) == (2, 0, 6)
+    assert first["started_at"] < second["started_at"]
+
+
+def test_schema_check_of_files_that_differ(spark, tmp_path):
+    path = str(tmp_path / "files")
+    expected = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()), T.StructField("c", T.DateType())])
+    spark.createDataFrame([(1, "x")], "a bigint, b string").coalesce(1).write.parquet(path)
+    spark.createDataFrame([(1, 2, "y")], "a int, b int, d string").coalesce(1).write.mode("append").parquet(path)
+    found = keyed(validate.schema_check(spark, path, expected), "column")
+    assert {c: r["status"] for c, r in found.items()} == {"a": "retyped", "b": "retyped", "c": "missing", "d": "unexpected"}
+    assert found["a"]["found_types"] == "bigint,int" and found["c"]["found_types"] is None and found["d"]["expected_type"] is None
+    assert (found["a"]["files_with"], found["c"]["files_with"], found["d"]["files_with"], found["d"]["files"]) == (2, 0, 1, 2)
+    good = str(tmp_path / "good")
+    files.save_extract(extract.keyed_extract(tables(spark), AS_OF), good, formats=("parquet",))
+    assert {r["status"] for r in validate.schema_check(spark, good).collect()} == {"ok"}
