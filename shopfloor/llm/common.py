@@ -16,7 +16,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared folder; Spark removes the files when they are no longer used."""
+    """``df`` computed once into the shared folder.
+
+    Spark removes the files when they are no longer used if ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, which it is not by default; otherwise they are left to the folder's retention.
+    """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -2,13 +2,18 @@
 
 Each language has a distribution over hashed byte trigrams of lower-cased letters. A text's
 proportions are found by expectation-maximisation; starting from the single most likely language,
-each other one, in the order of their proportions, joins the set if the log-likelihood gains more
-than a penalty. The proportions start equal and take a fixed number of rounds, after which the gain
-of a passage of very few words in a long text can still be too small. The language with the largest
-proportion in the chosen set is the answer.
+each other one joins the set if the log-likelihood gains more than a penalty. For one that joins, the
+gain is at most N log(max g / N), where N is the number of trigrams and g a language's sum of counts
+times its probability over that of the present mixture. So languages are tried in the order of g,
+and those whose bound is within the penalty are ruled out for certain before any round. The
+proportions start equal and take a fixed number of rounds, after which the gain of a passage of very
+few words in a long text can still be too small. The language with the largest proportion in the
+chosen set is the answer.
 """
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +26,9 @@ from shopfloor.llm.common import filtered, id_and_text, small_batches, texts_of
 BINS = 1 << 14
 UNKNOWN = "und"
 PENALTY, ROUNDS = 4.0, 12
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numbers that are neither letters nor decimal digits, as superscripts and fractions.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
+NOT_LETTERS = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
 
 
 def trigram_counts(text: str) -> np.ndarray | None:
@@ -63,22 +70,27 @@ class Model:
         best = int(single.argmax())
         posterior = 1 / np.exp(np.clip(single - single[best], -700, 0)).sum()
         chosen, shares, likelihood = [best], np.ones(1), single[best]
-        if len(self.names) > 1:
-            all_shares, _ = self.mixture(p, counts, rounds)
-            cost = penalty * np.log1p(counts.sum())
-            for i in np.argsort(-all_shares, kind="stable"):
-                if i == best:
-                    continue
-                more, gained = self.mixture(p[[*chosen, i]], counts, rounds)
-                if gained - likelihood > cost:
-                    chosen, shares, likelihood = [*chosen, int(i)], more, gained
+        total = counts.sum()
+        cost = penalty * np.log1p(total)
+        tried = {best}
+        while len(tried) < len(self.names):
+            g = p @ (counts / (shares @ p[chosen]))
+            bound = total * np.log(np.maximum(g, g[chosen].max()) / total)
+            open_ = [i for i in np.argsort(-g, kind="stable").tolist() if i not in tried and bound[i] > cost]
+            if not open_:
+                break
+            i = open_[0]
+            tried.add(i)
+            more, gained = self.mixture(p[[*chosen, i]], counts, rounds)
+            if gained - likelihood > cost:
+                chosen, shares, likelihood = [*chosen, i], more, gained
         main = int(np.lexsort((chosen, -shares))[0])
         score = float(shares[main]) * (float(posterior) if len(chosen) == 1 else 1.0)
         return self.names[chosen[main]], min(1.0, score), [(self.names[c], float(s)) for c, s in zip(chosen, shares)]
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Counts over all rows with a language and a letter; the driver gets one row per language and bin."""
+    """Counts over all rows with a language and a letter; the driver gets ``BINS`` numbers a language at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -95,12 +107,10 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     rows = docs.select(docs[text_col].alias("text"), docs[lang_col].alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sums = rows.mapInArrow(count, "lang string, bin int, n bigint").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     table = sums.toArrow()
-    counts: dict[str, np.ndarray] = {}
-    langs, bins, numbers = table.column("lang").to_pylist(), table.column("bin").to_numpy(), table.column("n").to_numpy()
-    for name in set(langs):
-        of_name = np.array([x == name for x in langs])
-        counts[name] = np.zeros(BINS, np.int64)
-        counts[name][bins[of_name]] = numbers[of_name]
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    totals = np.zeros((len(names.dictionary), BINS), np.int64)
+    totals[names.indices.to_numpy(), table.column("bin").to_numpy()] = table.column("n").to_numpy()
+    counts = dict(zip(names.dictionary.to_pylist(), totals))
     return Model(counts)
 
 

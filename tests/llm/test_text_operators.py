@@ -1,6 +1,7 @@
 """Tokens, packing, language, quality, fingerprints and licences on small tables, against plain versions."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -92,6 +93,65 @@ def test_language_of_each_and_of_mixed_texts(spark):
     assert {r["doc_id"] for r in kept.collect()} == {0, 1, 2, 3} and kept.columns == documents(spark, []).columns
 
 
+def plain_languages(model, text, penalty, rounds):
+    """The language set by trying every language in the same order, without bounds, and its proportions."""
+    found = langid.trigram_counts(text)
+    if found is None:
+        return "und", []
+    at = [i for i in range(langid.BINS) if found[i]]
+    n = [float(found[i]) for i in at]
+    p = [[float(row[i]) for i in at] for row in model.p]
+    likelihood_of = lambda shares, rows: sum(c * math.log(sum(s * r[k] for s, r in zip(shares, rows))) for k, c in enumerate(n))
+
+    def proportions(rows):
+        shares = [1 / len(rows)] * len(rows)
+        for _ in range(rounds):
+            mix = [sum(s * r[k] for s, r in zip(shares, rows)) for k in range(len(n))]
+            shares = [sum(c * s * r[k] / mix[k] for k, c in enumerate(n)) / sum(n) for s, r in zip(shares, rows)]
+        return shares
+
+    single = [likelihood_of([1.0], [row]) for row in p]
+    chosen = [single.index(max(single))]
+    shares, likelihood, tried = [1.0], max(single), set(chosen)
+    while len(tried) < len(p):
+        mix = [sum(s * p[j][k] for s, j in zip(shares, chosen)) for k in range(len(n))]
+        g = [sum(c * row[k] / mix[k] for k, c in enumerate(n)) for row in p]
+        i = max((j for j in range(len(p)) if j not in tried), key=lambda j: g[j])
+        tried.add(i)
+        more = proportions([p[j] for j in [*chosen, i]])
+        gained = likelihood_of(more, [p[j] for j in [*chosen, i]])
+        if gained - likelihood > penalty * math.log1p(sum(n)):
+            chosen, shares, likelihood = [*chosen, i], more, gained
+    return model.names[max(zip(shares, [-c for c in chosen]))[1] * -1], sorted((model.names[c], s) for c, s in zip(chosen, shares))
+
+
+def test_languages_equal_those_found_without_bounds():
+    rng = random.Random(4)
+    words = {f"l{i}": ["".join(rng.choice("abcdefghijklm"[i : i + 7]) for _ in range(rng.randint(2, 6))) for _ in range(150)] for i in range(6)}
+    text_in = lambda name, n: " ".join(rng.choice(words[name]) for _ in range(n))
+    model = langid.Model({name: langid.trigram_counts(text_in(name, 2000)) for name in words})
+    texts = [text_in("l0", 30), text_in("l1", 200) + " " + text_in("l4", 60), " ".join(text_in(f"l{i}", 40) for i in (2, 3, 5)), "a", "aa bb", "12", "Ab" * 500]
+    texts += [" ".join(rng.choice(words[rng.choice(list(words))]) for _ in range(50)) for _ in range(5)]
+    for text in texts:
+        main, score, found = model.languages(text, langid.PENALTY, langid.ROUNDS)
+        wanted, proportions = plain_languages(model, text, langid.PENALTY, langid.ROUNDS)
+        assert main == wanted and 0 <= score <= 1 and [n for n, _ in sorted(found)] == [n for n, _ in proportions]
+        assert [s for _, s in sorted(found)] == pytest.approx([s for _, s in proportions])
+
+
+def test_numbers_that_are_no_letters_and_repeated_rows(spark):
+    model = langid.learn(spark.createDataFrame([("bana nana", "xx"), ("kiru ruki", "yy")], "text string, lang string"))
+    texts = ["²½", "Ⅷ ① ٣", "x²", "漢", "ー", "bana " * 50_000, "bana", "bana"]
+    rows = {r["doc_id"]: r for r in langid.identify(documents(spark, texts), model).collect()}
+    assert [rows[i]["lang_pred"] == "und" for i in range(8)] == [True, True, False, False, False, False, False, False]
+    assert rows[5]["lang_pred"] == rows[6]["lang_pred"] == "xx" and rows[6]["score"] == rows[7]["score"]
+    # Equal likelihoods go to the first name.
+    even = langid.Model({"b": np.ones(langid.BINS, np.int64), "a": np.ones(langid.BINS, np.int64)})
+    assert even.languages("any text", langid.PENALTY, langid.ROUNDS)[0] == "a"
+    doubled = documents(spark, ["bana"]).unionByName(documents(spark, ["bana"]))
+    assert langid.identify(doubled, model).count() == 2
+
+
 def test_language_without_anything_learned(spark):
     empty = langid.learn(spark.createDataFrame([], "text string, lang string"))
     assert [r["lang_pred"] for r in langid.identify(documents(spark, ["abc"]), empty).collect()] == ["und"]
