@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopfloor.llm import langid, neardup, packing, quality
 from shopfloor.llm.common import read_table
-from shopfloor.storage import shared_folder
+from shopfloor.storage import remove, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,10 +46,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again as the next one's input."""
+    """All stages over ``documents``; what a stage returns is written and read again as the next one's input.
+
+    A stage's table is removed when the next one has been written. The last stage writes its ids
+    before it returns, so its input can go too. Rows without an id go through every stage; an empty
+    table gives no pieces.
+    """
     docs = read_table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    done = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if done:
+            remove(spark, done)
+        done = f"{folder}/{name}"
+    pieces = STAGES[-1][1](spark, docs, sf_dir)
+    remove(spark, folder)
+    return pieces
