@@ -9,9 +9,12 @@ import sys
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from shopfloor.llm import chat, html, neardup, vectors
+import public_tokenizers
+from shopfloor.llm import chat, html, langid, neardup, quality, vectors
+from shopfloor.storage import shared_folder
 
 
 def plain_classes(texts, percent=75):
@@ -376,15 +379,53 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == schema.replace(",", "").split()[::2], name
     assert {r["doc_id"] for r in docs.collect()} == set(range(60))
+    shared = shared_folder(spark).removeprefix("file:")
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert not [name for name in os.listdir(shared) if name.startswith("pipeline-")]
     assert {r["doc_id"] for r in pieces} == set(range(60))
     assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
 
 
+def plain_pipeline(spark, folder):
+    """What the stages keep, by plain versions of what they decide: scores of the learned models, all pairs, ids end to end."""
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    rows = [r.asDict() for r in docs.collect()]
+    model = quality.learn(docs, labels)
+    rows = [r for r, score in zip(rows, model.scores([r["text"] or "" for r in rows])) if score >= quality.THRESHOLD]
+    left = spark.createDataFrame([tuple(r.values()) for r in rows], docs.schema)
+    languages = langid.learn(left)
+    named = [languages.languages(r["text"] or "", langid.PENALTY, langid.ROUNDS) for r in rows]
+    rows = [r for r, (name, score, _) in zip(rows, named) if name != "und" and score >= 0.35]
+    rows.sort(key=lambda r: (r["doc_id"], r["text"] or ""))
+    label = plain_labels([r["text"] or "" for r in rows])
+    rows = [r for i, r in enumerate(rows) if label[i] == i]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return {r["doc_id"]: [*library.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in rows}
+
+
+def test_pipeline_against_plain_stages(spark):
+    folder = "/root/testdata/sf0.001"
+    wanted = plain_pipeline(spark, folder)
+    found = {i: [None] * len(ids) for i, ids in wanted.items()}
+    places = set()
+    for r in corpus_pipeline.run(spark, folder).collect():
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        found[r["doc_id"]][r["start"] : r["start"] + r["length"]] = ids
+        places |= {(r["sequence_id"], r["offset"] + k) for k in range(len(ids))}
+    assert found == wanted
+    assert places == {divmod(i, 4096) for i in range(sum(map(len, wanted.values())))}
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_registered_queries():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(name.startswith(f"op{n}_") for name in names)
     assert "pipeline" in names and [name for name, _ in corpus_pipeline.STAGES] == ["quality_filter", "language_filter", "near_dedup", "packing"]
