@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from shopfloor.llm.license_texts import TEMPLATES
-from shopfloor.llm.licenses import THRESHOLD, bigrams_of
+from shopfloor.llm.licenses import THRESHOLD, bigrams_of, longest, markers_of
 
 
 def _text(value: str) -> str:
@@ -53,26 +53,45 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(l.label, d.doc
 FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN labels l ON l.member = c.member
 """
 
+def _list(values) -> str:
+    return f"CAST([{', '.join(map(_text, values))}] AS VARCHAR[])"
+
+
 _TABLE = ", ".join(
-    f"({i}, {_text(name)}, [{', '.join(map(_text, bigrams_of(text)))}])"
-    for i, (name, text) in enumerate(TEMPLATES)
+    f"({i}, {_text(name)}, {_list(bigrams_of(text))}, {_list(has)}, {_list(decide)})"
+    for i, ((name, text), (has, decide)) in enumerate(zip(TEMPLATES, markers_of(TEMPLATES)))
     if bigrams_of(text)
 )
+# All lines and all runs of lines, without the words that the query looks for first.
 LICENSES = rf"""
-WITH templates(id, license, grams) AS (VALUES {_TABLE}),
-passages AS (
-  SELECT doc_id, unnest(list_concat(string_split(coalesce(text, ''), chr(10)),
-    list_filter(string_split_regex(coalesce(text, ''), '\n[ \t\r]*\n'), lambda p: contains(p, chr(10))))) AS p
-  FROM documents),
-units AS (SELECT DISTINCT doc_id, trim(lower(regexp_replace(p, '[^A-Za-z0-9]+', ' ', 'g'))) AS p FROM passages),
-worded AS (SELECT doc_id, p, string_split(p, ' ') AS w FROM units),
+WITH templates(id, license, grams, has, decide) AS (VALUES {_TABLE}),
+docs AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, text, list_transform(string_split(text, chr(10)),
+         lambda l: trim(lower(regexp_replace(l, '[^A-Za-z0-9]+', ' ', 'g')))) AS l FROM docs),
+starts AS (SELECT doc_id, text, l, unnest(range(1, len(l) + 1)) AS first FROM lines),
+runs AS (
+  SELECT doc_id, text, first, last, string_split(array_to_string(l[first:last], ' '), ' ') AS w
+  FROM (SELECT *, unnest(range(first, least(first + {longest(TEMPLATES, THRESHOLD)}, len(l) + 1))) AS last FROM starts)
+  WHERE NOT list_contains(l[first:last], '')),
 grams AS (
-  SELECT doc_id, p, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-  FROM worded WHERE len(w) > 1),
+  SELECT doc_id, text, first, last, w, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+  FROM runs WHERE len(w) > 1 AND (first = last OR len(w) <= {longest(TEMPLATES, THRESHOLD)})),
 scored AS (
-  SELECT doc_id, p, license, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-  FROM grams JOIN templates ON list_has_any(g, grams)),
-matches AS (SELECT doc_id, p, license, max(dice) AS dice FROM scored WHERE dice >= {THRESHOLD} GROUP BY ALL),
+  SELECT doc_id, text, first, last, array_to_string(w, ' ') AS p, license,
+         2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+  FROM grams JOIN templates ON list_has_any(g, grams) AND list_sort(list_intersect(list_distinct(w), decide)) = has),
+best_of AS (
+  SELECT * FROM scored WHERE dice >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, text, first, last ORDER BY dice DESC, license) = 1),
+begun AS (
+  SELECT *, coalesce(first > max(last) OVER (PARTITION BY doc_id, text ORDER BY first, last
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS begins FROM best_of),
+numbered AS (SELECT *, sum(CAST(begins AS INT)) OVER (PARTITION BY doc_id, text ORDER BY first, last) AS part FROM begun),
+kept AS (
+  SELECT * FROM numbered
+  QUALIFY row_number() OVER (PARTITION BY doc_id, text, part, license ORDER BY dice DESC, last - first, first) = 1),
+matches AS (SELECT doc_id, p, license, max(dice) AS dice FROM kept GROUP BY ALL),
 summary AS (
   SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best_dice
   FROM matches GROUP BY doc_id),

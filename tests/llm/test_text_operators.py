@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -252,8 +253,49 @@ def plain_dice(a: str, b: str) -> float:
     return 2.0 * len(x & y) / (len(x) + len(y)) if x or y else 0.0
 
 
-def test_licenses_against_plain_dice(spark):
+def plain_licenses(text: str) -> set[tuple[str, str, float]]:
+    """All lines and runs of lines of at most the longest passage's words, each against every template."""
+    lines = [" ".join(licenses.words_of(line)) for line in (text or "").split("\n")]
+    most, markers = licenses.longest(licenses.TEMPLATES, licenses.THRESHOLD), licenses.markers_of(licenses.TEMPLATES)
+    found = []
+    for first in range(len(lines)):
+        for last in range(first, len(lines)):
+            passage = " ".join(lines[first : last + 1])
+            if not lines[last] or (last > first and len(passage.split()) > most):
+                break
+            scored = []
+            for (name, template), (has, decide) in zip(licenses.TEMPLATES, markers):
+                dice = plain_dice(passage, template)
+                if dice >= licenses.THRESHOLD and sorted(set(passage.split()) & set(decide)) == has:
+                    scored.append((-dice, name))
+            if scored:
+                found.append((first, last, *min(scored), passage))
+    found.sort()
+    groups, reached = [], -1
+    for match in found:
+        if match[0] > reached:
+            groups.append([])
+        groups[-1].append(match)
+        reached = max(reached, match[1])
+    out = {}
+    for group in groups:
+        for name in {m[3] for m in group}:
+            best = min((m for m in group if m[3] == name), key=lambda m: (m[2], m[1] - m[0], m[0]))
+            out[best[4], name] = max(-best[2], out.get((best[4], name), 0))
+    return {(p, n, d) for (p, n), d in out.items()}
+
+
+GPL3, GPL2 = ([t for n, t in licenses.TEMPLATES if n == name][2] for name in ("GPL-3.0", "GPL-2.0"))
+AGPL = [t for n, t in licenses.TEMPLATES if n == "AGPL-3.0"][2]
+
+
+def wrapped(text: str, width: int, mark: str) -> str:
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_licenses_against_all_windows(spark):
     templates = licenses.TEMPLATES
+    header = "# Copyright 2024 Somebody, version 2.1 of the tool\n#\n" + wrapped(GPL3, 50, "# ") + "\n#\nimport os\nlicense = None"
     texts = [
         "Some prose.\nLicensed under the Apache License, Version 2.0.\nMore.",
         "licensed UNDER cc by-nc 4.0",
@@ -261,24 +303,47 @@ def test_licenses_against_plain_dice(spark):
         templates[6][1].replace(", ", ",\n").replace("copy", "duplicate", 1) + "\n\nand prose",
         "Released under the MIT License.\nReleased under the MIT License.",
         "License", "", None, "a b c d e f g", "from " * 3000,
+        header, wrapped(GPL2, 40, " * ") + "\n" + templates[4][1], "// " + AGPL, wrapped(GPL3, 30, "-- ") + "\nprose after it\n" + wrapped(AGPL, 70, "; "),
+        "License\n" * 400, "one line " * 500 + "\nLicensed under CC BY 4.0.",
     ]
     docs = documents(spark, texts)
-    found = {(r["doc_id"], r["license"], r["passage"]): r["dice"] for r in licenses.scan(docs).collect()}
-    wanted = {}
-    for i, text in enumerate(texts):
-        parts = (text or "").split("\n") + [p for p in (text or "").split("\n\n") if "\n" in p]
-        for passage in {" ".join(licenses.words_of(p)) for p in parts}:
-            for name, template in templates:
-                dice = plain_dice(passage, template)
-                if dice >= licenses.THRESHOLD:
-                    wanted[i, name, passage] = max(dice, wanted.get((i, name, passage), 0))
+    docs = docs.unionByName(docs.filter("doc_id = 0"))
+    found = {(r["doc_id"], r["passage"], r["license"]): r["dice"] for r in licenses.scan(docs).collect()}
+    wanted = {(i, p, n): d for i, text in enumerate(texts) for p, n, d in plain_licenses(text)}
     assert found == pytest.approx(wanted)
     summary = {r["doc_id"]: r for r in licenses.license_summary(docs, licenses.scan(docs)).collect()}
     assert len(summary) == len(texts) and summary[7]["n_matches"] == 0 and summary[7]["licenses"] is None
-    assert summary[0]["best_license"] == "Apache-2.0" and summary[4]["n_matches"] == 2
+    assert summary[0]["best_license"] == "Apache-2.0" and summary[4]["n_matches"] == 1
+    assert summary[10]["licenses"] == "GPL-3.0" and summary[10]["best_dice"] == 1.0
+    assert summary[11]["licenses"] == "GPL-2.0,MIT" and summary[12]["licenses"] == "AGPL-3.0" and summary[13]["licenses"] == "AGPL-3.0,GPL-3.0"
     assert licenses.license_summary(documents(spark, []), licenses.scan(documents(spark, []))).count() == 0
 
 
+def test_alike_licenses_are_told_apart(spark):
+    work, commons = "This work is licensed under the GNU {}, version {}.", "This work is licensed under a Creative Commons Attribution{} International License."
+    cases = {
+        work.format("General Public License", 2): "GPL-2.0",
+        work.format("General Public License", 3): "GPL-3.0",
+        work.format("General Public License", 1): None,
+        work.format("Affero General Public License", 3): "AGPL-3.0",
+        work.format("Lesser General Public License", 3): "LGPL-3.0",
+        work.format("Lesser General Public License", "2.1"): "LGPL-2.1",
+        work.format("Library General Public License", 2): "LGPL-2.0",
+        GPL2: "GPL-2.0", GPL3: "GPL-3.0", AGPL: "AGPL-3.0",
+        commons.format(" 4.0"): "CC-BY-4.0",
+        commons.format("-NonCommercial 4.0"): "CC-BY-NC-4.0",
+        commons.format("-ShareAlike 4.0"): "CC-BY-SA-4.0",
+        commons.format("-NoDerivatives 4.0"): "CC-BY-ND-4.0",
+        commons.format("-NonCommercial-ShareAlike 4.0"): "CC-BY-NC-SA-4.0",
+        commons.format("-NoDerivatives 3.0"): None,
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+        "Licensed under the Apache License, Version 1.1.": None,
+    }
+    docs = documents(spark, list(cases))
+    found = {r["doc_id"]: r["licenses"] for r in licenses.license_summary(docs, licenses.scan(docs)).collect()}
+    assert [found[i] for i in range(len(cases))] == list(cases.values())
+
+
 def test_a_short_passage_in_another_language_is_found():
     rng = random.Random(2)
     words = {name: ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(300)] for name, letters in
