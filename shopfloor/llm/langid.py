@@ -28,12 +28,15 @@ UNKNOWN = "und"
 PENALTY, ROUNDS = 4.0, 12
 #: Numbers that are neither letters nor decimal digits, as superscripts and fractions.
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
-NOT_LETTERS = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
+NOT_LETTERS, OTHER_NUMBERS = re.compile(r"[\W\d_]+"), re.compile(f"[{re.escape(_NUMBERS)}]+")
 
 
 def trigram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed trigrams of a text's letters; None if it has no letter."""
     letters = NOT_LETTERS.sub(" ", text.lower())
+    if not letters.isascii() and OTHER_NUMBERS.search(letters):
+        # Two steps, as one class of so many characters takes several times as long.
+        letters = NOT_LETTERS.sub(" ", OTHER_NUMBERS.sub(" ", letters))
     if not letters.strip():
         return None
     raw = np.frombuffer(f" {letters.strip()} ".encode("utf-8"), dtype=np.uint8).astype(np.uint32)
