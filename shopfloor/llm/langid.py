@@ -29,17 +29,28 @@ PENALTY, ROUNDS = 4.0, 12
 #: Numbers that are neither letters nor decimal digits, as superscripts and fractions.
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
 NOT_LETTERS, OTHER_NUMBERS = re.compile(r"[\W\d_]+"), re.compile(f"[{re.escape(_NUMBERS)}]+")
+#: Those below U+0100 and all characters from the next one on: a class that is searched for fast.
+_MAY_BE_NUMBER = re.compile(f"[{''.join(c for c in _NUMBERS if c < chr(256))}{min(c for c in _NUMBERS if c > chr(255))}-{chr(sys.maxunicode)}]")
+_ASCII_LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(128)
+
+
+def letters_of(text: str) -> bytes:
+    """The words of letters of a text in lower case, with one blank between."""
+    lower = text.lower()
+    if lower.isascii():
+        return b" ".join(lower.encode().translate(_ASCII_LETTERS).split())
+    letters = NOT_LETTERS.sub(" ", lower)
+    if _MAY_BE_NUMBER.search(letters):
+        letters = NOT_LETTERS.sub(" ", OTHER_NUMBERS.sub(" ", letters))
+    return letters.strip().encode("utf-8")
 
 
 def trigram_counts(text: str) -> np.ndarray | None:
     """Counts of the hashed trigrams of a text's letters; None if it has no letter."""
-    letters = NOT_LETTERS.sub(" ", text.lower())
-    if not letters.isascii() and OTHER_NUMBERS.search(letters):
-        # Two steps, as one class of so many characters takes several times as long.
-        letters = NOT_LETTERS.sub(" ", OTHER_NUMBERS.sub(" ", letters))
-    if not letters.strip():
+    letters = letters_of(text)
+    if not letters:
         return None
-    raw = np.frombuffer(f" {letters.strip()} ".encode("utf-8"), dtype=np.uint8).astype(np.uint32)
+    raw = np.frombuffer(b" " + letters + b" ", dtype=np.uint8).astype(np.uint32)
     codes = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
     return np.bincount((codes * np.uint32(2654435761)) >> np.uint32(18), minlength=BINS)
 
