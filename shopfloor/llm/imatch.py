@@ -25,6 +25,8 @@ LEVELS, SUBSETS = 3, 16
 BLANK = "------"
 # Candidate terms are sent to all tasks within this number, 32 MB; beyond it they are joined by shuffle.
 BROADCAST_TERMS = 4_000_000
+# Bytes of texts in a range of ids, about, so that a task's range does not grow with the table.
+BUCKET_BYTES = 16 << 20
 
 _TERMS = re.compile(rb"[^\x00-\x20!-/:-@\[-`{-\x7f]+")
 _FACTORS = np.random.default_rng(8).integers(1, 2**63, size=(64, SUBSETS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,6 +133,12 @@ def learn_lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, text_co
     return np.sort(inside.toArrow().column("term").to_numpy().astype(np.int64).view(np.uint64))
 
 
+def buckets_of(docs: DataFrame, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Into how many ranges of ids ``docs`` is cut, by the bytes of its texts."""
+    size = docs.agg(F.sum(F.octet_length(docs[text_col]).cast("bigint"))).first()[0] or 0
+    return -(-size // bucket_bytes) or 1
+
+
 def with_next_text(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, next_text): the text of the next row by id and text; the last row's next is the first.
 
@@ -176,12 +184,13 @@ def fingerprints(texts: DataFrame, lexicon: np.ndarray, columns: dict[str, str])
     return texts.mapInArrow(run, schema)
 
 
-def edited_likeness(docs: DataFrame, lexicon: np.ndarray, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edited_likeness(docs: DataFrame, lexicon: np.ndarray, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of all texts, of their edited versions, and how alike they are.
 
     Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
     The edited text has the last half of the code points, rounded down, replaced by as many first
-    ones of the next document's text, or all of it. One row per row; rows with equal ids follow one
+    ones of the next document's text, or all of it. Without ``buckets`` there are as many ranges of ids
+    as it takes for each to have about ``BUCKET_BYTES`` of text. One row per row; rows with equal ids follow one
     another by text, null ids come first, and a single document is its own next. No rows, no result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
@@ -205,4 +214,5 @@ def edited_likeness(docs: DataFrame, lexicon: np.ndarray, buckets: int, id_col:
             )
 
     schema = ", ".join(f"{c} {'bigint' if c in ('doc_id', 'n_chars') else 'double' if c.startswith('near') else 'string'}" for c in names)
-    return with_next_text(docs, buckets, id_col, text_col).mapInArrow(run, schema)
+    ranges = buckets or buckets_of(docs, text_col)
+    return with_next_text(docs, ranges, id_col, text_col).mapInArrow(run, schema)

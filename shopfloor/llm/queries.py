@@ -61,8 +61,7 @@ def encoded_and_decoded(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return imatch.edited_likeness(docs, imatch.learn_lexicon(docs), buckets)
+    return imatch.edited_likeness(docs, imatch.learn_lexicon(docs))
 
 
 def formatted_conversations(spark: SparkSession, folder: str) -> DataFrame:
