@@ -134,9 +134,10 @@ def learn_lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, text_co
 
 
 def buckets_of(docs: DataFrame, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> int:
-    """Into how many ranges of ids ``docs`` is cut, by the bytes of its texts."""
+    """Into how many ranges of ids ``docs`` is cut: by the bytes of its texts, and two for each shuffle partition at least."""
     size = docs.agg(F.sum(F.octet_length(docs[text_col]).cast("bigint"))).first()[0] or 0
-    return -(-size // bucket_bytes) or 1
+    least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-size // bucket_bytes))
 
 
 def with_next_text(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,7 +191,7 @@ def edited_likeness(docs: DataFrame, lexicon: np.ndarray, buckets: int | None =
     Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
     The edited text has the last half of the code points, rounded down, replaced by as many first
     ones of the next document's text, or all of it. Without ``buckets`` there are as many ranges of ids
-    as it takes for each to have about ``BUCKET_BYTES`` of text. One row per row; rows with equal ids follow one
+    as it takes for each to have about ``BUCKET_BYTES`` of text at most. One row per row; rows with equal ids follow one
     another by text, null ids come first, and a single document is its own next. No rows, no result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
