@@ -1,18 +1,27 @@
 """Main text of web pages by template deduction over the pages of a host.
 
-A page's tokens are its elements, named by their path of tags, classes and ids. For every host and
-token the occurrence vector, how often it occurs on which page, is summed up as hashes; tokens with
-equal vectors are an equivalence class. Classes of two tokens or more that occur once on at least
-half of the host's pages are the template, nested as the paths are. Its slots are what stands between
-its tokens: the main slots are articles or, without any, the whole page; slots outside articles whose
-text never varies while the pages do, and those of menus, footers, forms and the like, are not main
-text. On hosts of copies, where such slots hold most of the text, they are kept.
+A page's tokens are its elements, named by their path of tags, classes and ids; an element stands for
+its opening and its closing tag, so it always encloses a slot. For every host and token the occurrence
+vector, how often it occurs on which page, is summed up as hashes; tokens with equal vectors are an
+equivalence class. Tokens that occur once a page on at least half of the host's pages are valid if
+their parent is valid too: so classes nest into the template, a class inside a slot of the class of
+its parent.
+
+The template decides which slots are main. Below the outermost slot, a slot whose text is the same on
+all its pages, while the host's pages differ, gives way if its pages hold a heavier slot beside it:
+one of its own class or of its parent's, which occur on all of these pages. The heaviest slot stays
+whether it varies or not, so pages that are copies keep their text. Slots that vary stay, and are
+searched in the same way. Articles found on this way are the main slots. Names of tags, classes and
+ids only tell what variation can't: articles, and menus, adverts, readers' comments and the like,
+which may differ from page to page.
 
 Vectors are combined on the map side, so a host of any size reaches a task as one row per token.
+Work is linear in the length of a page, however deep its elements are nested.
 """
 
 import html
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,10 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.llm.common import checkpointed, small_batches, texts_of
+from shopfloor.operators.joins import JoinLimits, Measured, attach
 
-# Templates are sent to all tasks within this size; beyond it they are joined by shuffle, in slices.
-BROADCAST_BYTES = 32 * 1024 * 1024
-SLICES = 16
+# Slots are sent to all tasks within these limits; beyond them they are joined by shuffle, large hosts in slices.
+LIMITS = JoinLimits(broadcast_bytes=32 * 1024 * 1024, slice_rows=100_000)
+ROOT = 0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|iframe|svg|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -61,10 +71,12 @@ CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td
 
 
 class Element:
-    __slots__ = ("path", "tag", "noise", "main", "chars", "digest", "times")
+    __slots__ = ("parent", "path", "tag", "noise", "main", "chars", "digest", "inside", "outside")
 
-    def __init__(self, path: str, tag: str, noise: bool, main: bool):
-        self.path, self.tag, self.noise, self.main = path, tag, noise, main
+    def __init__(self, parent: "Element | None", path: int, tag: str, noise: bool, main: bool):
+        self.parent, self.path, self.tag, self.noise, self.main = parent, path, tag, noise, main
+        self.chars = self.digest = 0
+        self.inside = self.outside = False
 
 
 def _element(parent: Element, tag: str, attributes: str) -> Element:
@@ -79,52 +91,53 @@ def _element(parent: Element, tag: str, attributes: str) -> Element:
         named = tag not in ("html", "body", "main") and bool(parts & NOISE_NAMES)
     header = not parent.main and (tag == "header" or tag == "div" and bool(parts & HEADERS) and not parts & OF_ARTICLE)
     noise = parent.noise or tag in NOISE_TAGS or named or header
-    return Element(f"{parent.path}/{label}", tag, noise, parent.main or (tag in MAIN and not noise))
+    path = xxhash.xxh64_intdigest(label.encode("utf-8", "replace"), parent.path) >> 1
+    return Element(parent, path, tag, noise, parent.main or (tag in MAIN and not noise))
 
 
-def blocks(page: str) -> tuple[list[tuple[tuple[Element, ...], str]], list[Element]]:
-    """The page's text blocks in order, each with its open elements, and all elements in order."""
-    root = Element("", "", False, False)
+def blocks(page: str) -> tuple[list[tuple[Element, str]], list[Element]]:
+    """The page's text blocks in order, each with its innermost element, and all elements, parents first."""
+    root = Element(None, ROOT, "", False, False)
     stack, found, every, waiting, at = [root], [], [root], [], 0
+    # How many elements of a tag are open, so that a stray closing tag costs nothing.
+    opened = Counter()
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(waiting)).split()) if waiting else ""
         waiting.clear()
         if text:
-            found.append((tuple(stack), text))
+            found.append((stack[-1], text))
+
+    def close() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        return tag
 
     for token in _TOKEN.finditer(page):
         if token.start() > at:
             waiting.append(page[at : token.start()])
         at = token.end()
         tag = (token.group(3) or "").lower()
-        if not tag:
+        if not tag or tag in INLINE:
             continue
+        flush()
         if token.group(2):
-            if tag not in INLINE:
-                flush()
             # A closing tag ends what is open inside; one without an opening is ignored.
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break
-            continue
-        if tag in INLINE:
+            while opened[tag] and close() != tag:
+                pass
             continue
-        flush()
         if tag in VOID:
             continue
         # A new block ends an open paragraph; items, cells and rows end the ones before them.
-        while len(stack) > 1 and stack[-1].tag == "p":
-            stack.pop()
+        while stack[-1].tag == "p":
+            close()
         ends = CLOSES.get(tag)
-        if ends and len(stack) > 1 and stack[-1].tag in ends:
-            stack.pop()
-            if tag == "tr" and len(stack) > 1 and stack[-1].tag == "tr":
-                stack.pop()
+        if ends and stack[-1].tag in ends:
+            close()
+            if tag == "tr" and stack[-1].tag == "tr":
+                close()
         stack.append(_element(stack[-1], tag, token.group(4) or ""))
+        opened[tag] += 1
         every.append(stack[-1])
     if at < len(page):
         waiting.append(page[at:])
@@ -132,19 +145,27 @@ def blocks(page: str) -> tuple[list[tuple[tuple[Element, ...], str]], list[Eleme
     return found, every
 
 
-def tokens_of(page: str) -> list[tuple[str, int, int, int, bool]]:
-    """(path, occurrences, characters inside, hash of the text inside, noise) of every path of a page."""
+def tokens_of(page: str) -> list[tuple[int, int, str, int, int, int, bool, int]]:
+    """(path, parent's path, tag, occurrences, characters inside, digest of the text inside, noise, place) of every path.
+
+    Characters and digest are of the text that no name marks as noise; the digest adds up the blocks' hashes.
+    """
     found, every = blocks(page)
-    table: dict[str, list] = {}
-    for element in every:
-        row = table.setdefault(element.path, [0, 0, xxhash.xxh64(), element.noise])
-        row[0] += 1
-    for stack, text in found:
-        for element in stack:
-            row = table[element.path]
-            row[1] += 0 if stack[-1].noise else len(text)
-            row[2].update(text.encode("utf-8", "replace"))
-    return [(path, row[0], row[1], row[2].intdigest() >> 1, row[3]) for path, row in table.items()]
+    for element, text in found:
+        if not element.noise:
+            element.chars += len(text)
+            element.digest += xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) >> 1
+    for element in reversed(every[1:]):
+        element.parent.chars += element.chars
+        element.parent.digest += element.digest
+    table: dict[int, list] = {}
+    for place, e in enumerate(every):
+        above = e.parent.path if e.parent else ROOT
+        row = table.setdefault(e.path, [e.path, above, e.tag, 0, 0, 0, e.noise, place])
+        row[3] += 1
+        row[4] += e.chars
+        row[5] = (row[5] + e.digest) % (1 << 62)
+    return [tuple(row) for row in table.values()]
 
 
 def _host(url: Column) -> Column:
@@ -152,87 +173,120 @@ def _host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, tokens): the template of each host of ``pages`` (page_id, host, html).
+    """(host, tokens): the tokens that can be in the template of each host of ``pages`` (page_id, host, html).
 
-    ``tokens`` are structs of path, class, share of the host's text and whether the text is the same
-    on all pages while the pages differ. A host has at most twice as many as its mean page has paths.
+    ``tokens`` are structs of place, path, parent, tag, class, characters, pages, whether the text is
+    the same on all pages while the host's pages differ, and noise. A host has at most twice as many as
+    its mean page has paths. Hosts of one page have none.
     """
+    kinds = {
+        "host": pa.string(), "page_id": pa.int64(), "path": pa.int64(), "parent": pa.int64(), "tag": pa.string(),
+        "times": pa.int64(), "chars": pa.int64(), "digest": pa.int64(), "noise": pa.bool_(), "place": pa.int64(),
+    }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html", 1_000_000):
-            out = [[] for _ in range(7)]
+            rows = []
             for page_id, host, page in zip(*(texts_of(batch, c) for c in ("page_id", "host", "html"))):
-                for path, times, chars, digest, noise in tokens_of(page):
-                    for column, value in zip(out, (host, path, page_id, times, chars, digest, noise)):
-                        column.append(value)
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-            names = ["host", "path", "page_id", "times", "chars", "digest", "noise"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
-
-    schema = "host string, path string, page_id bigint, times bigint, chars bigint, digest bigint, noise boolean"
+                rows += [(host, page_id, *token) for token in tokens_of(page)]
+            columns = list(zip(*rows)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
+
+    schema = (
+        "host string, page_id bigint, path bigint, parent bigint, tag string, times bigint, chars bigint, digest bigint, "
+        "noise boolean, place bigint"
+    )
     seen = pages.select("page_id", "host", "html").mapInArrow(run, schema)
     part = lambda salt: F.sum(F.pmod(F.xxhash64(F.lit(salt), "page_id", "times"), F.lit(1 << 31)))
     vectors = seen.groupBy("host", "path").agg(
+        F.min("parent").alias("parent"),
+        F.min("tag").alias("tag"),
         F.count(F.lit(1)).alias("pages"),
         F.sum("times").alias("times"),
-        F.struct(part(1).alias("a"), part(2).alias("b")).alias("vector"),
+        F.xxhash64(part(1), part(2)).alias("class"),
         F.sum("chars").alias("chars"),
         (F.min("digest") == F.max("digest")).alias("same"),
         F.max("noise").alias("noise"),
+        F.min("place").alias("place"),
     )
-    vectors = checkpointed(vectors)
-    totals = vectors.filter("path = ''").select(
-        "host", F.col("pages").alias("all_pages"), F.col("chars").alias("all_chars"), F.col("same").alias("all_same")
-    )
-    classes = vectors.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("members"))
-    valid = (
-        vectors.join(classes, ["host", "vector"])
-        .join(totals, "host")
-        .filter("members >= 2 AND times = pages AND pages * 2 >= all_pages AND all_pages >= 2")
+    vectors = checkpointed(vectors.filter("times = pages AND pages >= 2"))
+    totals = vectors.filter(F.col("path") == ROOT).select(
+        "host", F.col("pages").alias("all_pages"), F.col("same").alias("all_same")
     )
+    frequent = vectors.join(totals, "host").filter("pages * 2 >= all_pages")
     token = F.struct(
+        "place",
         "path",
-        F.xxhash64("vector").alias("class"),
-        (F.col("chars") / F.greatest("all_chars", F.lit(1))).alias("share"),
-        (F.col("same") & ~F.col("all_same") & (F.col("pages") >= 3)).alias("fixed"),
+        "parent",
+        "tag",
+        "class",
+        "chars",
+        "pages",
+        (F.col("same") & ~F.col("all_same")).alias("fixed"),
         "noise",
     )
-    return valid.groupBy("host").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
+    return frequent.groupBy("host").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
+
+
+def slots_of(tokens: list[dict]) -> tuple[list[int], list[int]]:
+    """The paths of a template's main slots and of the slots that are no main text; ``tokens`` in order of their places."""
+    inner, valid = defaultdict(list), {ROOT}
+    for token in tokens:
+        # A parent comes before its children. Without a valid parent a token doesn't nest.
+        if token["path"] != ROOT and token["parent"] in valid:
+            valid.add(token["path"])
+            inner[token["parent"]].append(token)
+    weight = lambda t: t["chars"] / t["pages"]
+    main, dropped = [], []
+    waiting = [t for t in tokens if t["path"] == ROOT]
+    while waiting:
+        slot = waiting.pop()
+        slots = [t for t in inner[slot["path"]] if not t["noise"]]
+        # What stands beside the slots in this one weighs too, on all its pages.
+        heaviest = defaultdict(float)
+        beside = slot["chars"] - sum(t["chars"] for t in slots if t["class"] == slot["class"])
+        heaviest[slot["class"]] = beside / slot["pages"]
+        for t in slots:
+            heaviest[t["class"]] = max(heaviest[t["class"]], weight(t))
+        for t in slots:
+            if t["tag"] in MAIN:
+                main.append(t["path"])
+            elif not t["fixed"]:
+                waiting.append(t)
+            elif t["tag"] in CONTAINERS and max(heaviest[t["class"]], heaviest[slot["class"]]) > weight(t):
+                dropped.append(t["path"])
+    return main, dropped
+
+
+def host_slots(pages: DataFrame) -> DataFrame:
+    """(host, main, dropped): the paths of each host's main slots and of its slots that are no main text; not of hosts without any."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
+        for batch in batches:
+            found = [slots_of(tokens) for tokens in texts_of(batch, "tokens")]
+            columns = [batch.column(0), *(pa.array([f[i] for f in found], kind) for i in range(2))]
+            yield pa.RecordBatch.from_arrays(columns, ["host", "main", "dropped"])
 
-def _tag(path: str) -> str:
-    return path.rpartition("/")[2].partition(".")[0]
-
-
-def _fixed_paths(tokens: list[dict]) -> set[str]:
-    """Containers with the same text on all pages; none if they hold most of the host's text, as on hosts of copies."""
-    shares = {t["path"]: t["share"] for t in tokens if t["fixed"] and _tag(t["path"]) in CONTAINERS}
-    outer = [p for p in shares if not any(p.startswith(o + "/") for o in shares if o != p)]
-    return set() if sum(shares[p] for p in outer) > 0.5 else set(shares)
-
-
-def _main_paths(tokens: list[dict]) -> set[str]:
-    """The outermost article or main slots, if there are any."""
-    named = sorted(t["path"] for t in tokens if not t["noise"] and _tag(t["path"]) in MAIN)
-    return {p for p in named if not any(p.startswith(o + "/") for o in named if o != p)}
-
+    found = templates(pages).mapInArrow(run, "host string, main array<bigint>, dropped array<bigint>")
+    return found.filter("size(main) + size(dropped) > 0")
 
-def main_text(page: str, tokens: list[dict]) -> str:
-    """The blocks of the main slot without the slots inside it that are no main text."""
-    found, _ = blocks(page)
-    fixed = _fixed_paths(tokens)
 
-    def kept(stack: tuple[Element, ...], slots: set[str]) -> bool:
-        if stack[-1].noise or not stack[-1].main and any(e.path in fixed for e in stack):
-            return False
-        return not slots or any(e.path in slots for e in stack)
+def main_text(page: str, main: list[int], dropped: list[int]) -> str:
+    """The blocks of the main slots without those that are no main text.
 
-    slots = _main_paths(tokens)
-    present = {e.path for stack, _ in found for e in stack}
-    if not slots & present:
-        # The template has no main slot here: the page's own article, or all that is no noise.
-        slots = {e.path for stack, _ in found for e in stack if e.tag in MAIN and not e.noise}
-    return "\n".join(text for stack, text in found if kept(stack, slots))
+    On a page without the template's main slots its own articles are taken, or else all that is no noise.
+    """
+    found, every = blocks(page)
+    slots, out = set(main), set(dropped)
+    for e in every[1:]:
+        e.inside = e.parent.inside or e.path in slots
+        e.outside = not e.main and (e.parent.outside or e.path in out)
+    if not any(e.inside for e, _ in found):
+        articles = any(e.main for e, _ in found)
+        for e in every:
+            e.inside = e.main or not articles
+    return "\n".join(text for e, text in found if e.inside and not e.noise and not e.outside)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -249,20 +303,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         _host(pages[url_col]).alias("host"),
         F.coalesce(pages[html_col], F.lit("")).alias("html"),
     )
-    found = checkpointed(templates(rows))
-    token_bytes = F.aggregate("tokens", F.lit(0), lambda n, t: n + F.octet_length(t["path"]) + 48)
-    size = found.agg(F.coalesce(F.sum(token_bytes.cast("bigint") + F.octet_length("host")), F.lit(0))).first()[0]
-    if size <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(found), "host", "left")
-    else:
-        salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SLICES)).cast("int")
-        sliced = found.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
-        joined = rows.withColumn("slice", salt).join(sliced, ["host", "slice"], "left")
+    found = checkpointed(host_slots(rows))
+    width = (8 * (F.size("main") + F.size("dropped")) + F.octet_length("host") + 48).cast("bigint")
+    size = found.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    lookup = Measured(found, size["hosts"], size["bytes"])
+    joined = attach(rows, lookup, ["host"], "left", limits=LIMITS, keys_from=rows.select("host"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
-            columns = (texts_of(batch, c) for c in ("html", "tokens"))
-            texts = pa.array([main_text(page, tokens or []) for page, tokens in zip(*columns)], pa.string())
+            columns = (texts_of(batch, c) for c in ("html", "main", "dropped"))
+            texts = pa.array([main_text(page, main or [], out or []) for page, main, out in zip(*columns)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["page_id", "url", "text"])
 
-    return joined.select("page_id", "url", "html", "tokens").mapInArrow(run, "page_id bigint, url string, text string")
+    schema = "page_id bigint, url string, text string"
+    return joined.select("page_id", "url", "html", "main", "dropped").mapInArrow(run, schema)

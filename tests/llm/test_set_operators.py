@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 import public_tokenizers
 from shopfloor.llm import chat, html, langid, neardup, quality, vectors
+from shopfloor.operators.joins import JoinLimits
 from shopfloor.storage import shared_folder
 
 
@@ -324,10 +326,126 @@ def test_templates_joined_by_shuffle_give_the_same(spark, monkeypatch):
     rows = [(n, f"http://h{n % 3}.example/", PAGE.format(n=n)) for n in range(30)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     wanted = sorted(map(tuple, html.extract(pages).collect()))
-    monkeypatch.setattr(html, "BROADCAST_BYTES", -1)
+    # One host is hot: its pages are dealt over slices.
+    monkeypatch.setattr(html, "LIMITS", JoinLimits(broadcast_bytes=-1, slice_rows=4))
     assert sorted(map(tuple, html.extract(pages).collect())) == wanted
 
 
+def plain_texts(pages):
+    """Main texts of one host's pages: whole paths, whole occurrence vectors and texts, no hashes, recursion over the template."""
+    parsed = []
+    for page in pages:
+        found, every = html.blocks(page)
+        paths = {}
+        for e in every:
+            above = paths[id(e.parent)] if e.parent else ()
+            paths[id(e)] = above + ((e.tag, e.path),) if e.parent else ()
+        parsed.append((found, every, paths))
+    seen = {}
+    for n, (found, every, paths) in enumerate(parsed):
+        for e in every:
+            path = paths[id(e)]
+            inside = sorted(t for b, t in found if not b.noise and paths[id(b)][: len(path)] == path)
+            row = seen.setdefault(path, {"on": {}, "texts": {}, "noise": e.noise})
+            row["on"][n] = row["on"].get(n, 0) + 1
+            row["texts"][n] = inside
+    alike = lambda path: all(t == next(iter(seen[path]["texts"].values())) for t in seen[path]["texts"].values())
+    once = {p for p, row in seen.items() if len(row["on"]) >= 2 and set(row["on"].values()) == {1} and 2 * len(row["on"]) >= len(pages)}
+    valid = {p for p in once if all(p[:i] in once for i in range(len(p)))}
+    chars = lambda p: sum(len(t) for texts in seen[p]["texts"].values() for t in texts)
+    weight = lambda p: chars(p) / len(seen[p]["on"])
+    main, dropped = set(), set()
+
+    def walk(slot):
+        inner = [p for p in valid if len(p) == len(slot) + 1 and p[:-1] == slot and not seen[p]["noise"]]
+        rest = (chars(slot) - sum(chars(p) for p in inner if seen[p]["on"] == seen[slot]["on"])) / len(seen[slot]["on"])
+        for p in inner:
+            rivals = [weight(o) for o in inner if seen[o]["on"] in (seen[p]["on"], seen[slot]["on"])]
+            rivals += [rest] if rest else []
+            if p[-1][0] in html.MAIN:
+                main.add(p)
+            elif alike(()) or not alike(p):
+                walk(p)
+            elif p[-1][0] in html.CONTAINERS and max(rivals) > weight(p):
+                dropped.add(p)
+
+    if () in valid:
+        walk(())
+    texts = []
+    for found, _, paths in parsed:
+        under = lambda e, some: any(paths[id(e)][: len(p)] == p for p in some)
+        chosen = [b for b, _ in found if under(b, main)] or [b for b, _ in found if b.main] or [b for b, _ in found]
+        ids = {id(b) for b in chosen}
+        kept = [t for b, t in found if id(b) in ids and not b.noise and (b.main or not under(b, dropped))]
+        texts.append("\n".join(kept))
+    return texts
+
+
+def random_host(rng):
+    """Pages of one host, whose parts are fixed, copied now and then, or vary."""
+
+    def part(depth):
+        tag = rng.choice(["div", "div", "section", "p", "ul", "article" if rng.random() < 0.3 else "td"])
+        kind, named = rng.choice(["fixed", "varies", "copied"]), rng.choice(["", "", " class=ad", " id=x%d" % rng.randint(0, 99)])
+        often, words = rng.choice([1.0, 1.0, 0.7, 0.3]), rng.randint(1, 9)
+        inner = [part(depth + 1) for _ in range(rng.randint(0, 3))] if depth < 3 else []
+        seed = rng.random()
+
+        def write(n):
+            if random.Random(f"{seed}{n}").random() > often:
+                return ""
+            mark = {"fixed": 0, "varies": n, "copied": n // 3}[kind]
+            text = " ".join(f"w{mark}x{i}" for i in range(words)) if not inner or words < 4 else ""
+            return f"<{tag}{named}>{text}{''.join(w(n) for w in inner)}</{tag}>"
+
+        return write
+
+    parts = [part(0) for _ in range(rng.randint(1, 5))]
+    return ["<html><body>" + "".join(w(n) for w in parts) + "</body></html>" for n in range(rng.randint(1, 8))]
+
+
+def test_main_text_against_plain_templates(spark):
+    rng = random.Random(31)
+    hosts = [random_host(rng) for _ in range(150)]
+    rows = [(h * 100 + n, f"http://h{h}.example/{n}", page) for h, pages in enumerate(hosts) for n, page in enumerate(pages)]
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    changed = 0
+    for h, pages in enumerate(hosts):
+        wanted = plain_texts(pages)
+        assert [found[h * 100 + n] for n in range(len(pages))] == wanted
+        changed += wanted != [html.main_text(page, [], []) for page in pages]
+    # The template decides, not the names alone.
+    assert changed > 20
+
+
+def test_names_of_classes_do_not_matter_to_the_template(spark):
+    page = (
+        "<body><div class='{0}'><div>Home</div><div>About us</div></div><div class='{1}'><div class='{2}'><h2>Head {n}</h2><p>Words {n} of the text.</p>"
+        "</div><div class='{3}'>All our letters</div></div><div class='{4}'>House and Sons</div></body>"
+    )
+    named = ["menu", "wrap", "content", "newsletter", "footer"]
+    odd = ["k3x", "zq", "bbq", "u7", "pp"]
+    rows = [(n, f"http://{'ab'[n % 2]}.example/", page.format(*[named, odd][n % 2], n=n // 2)) for n in range(12)]
+    found = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found == {n: f"Head {n // 2}\nWords {n // 2} of the text." for n in range(12)}
+    assert html.main_text(rows[1][2], [], []) != found[1]
+
+
+def test_slots_do_not_depend_on_the_number_of_pages(spark):
+    page = "<body><div id=a>Always the same</div><div id=b>The text of page {n} is longer than that.</div></body>"
+    rows = [(size * 100 + n, f"http://h{size}.example/", page.format(n=n)) for size in (2, 3, 40) for n in range(size)]
+    found = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert all(r["text"] == f"The text of page {r['page_id'] % 100} is longer than that." for r in found)
+
+
+def test_deep_and_odd_pages_take_linear_time():
+    for page in ("<div>x" * 20_000, "<div>" * 20_000 + "</p></span></b></td>" * 20_000 + "x", "<a title=\">" * 20_000, "<p" * 50_000):
+        started = time.process_time()
+        html.tokens_of(page)
+        html.main_text(page, [1], [2])
+        assert time.process_time() - started < 5
+
+
 def test_fold_applies_edits_and_regenerations(spark):
     events = [
         (1, 1, 1, "message", "user", "hi"), (1, 2, 2, "message", "assistant", ""), (1, 3, 2, "delta", None, "he"),
