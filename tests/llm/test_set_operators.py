@@ -264,6 +264,34 @@ def test_top_k_against_all_pairs(spark):
             wanted = [(n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
             assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q) == wanted
     assert vectors.top_k(every.limit(0), every.limit(0)).count() == 0
+    assert vectors.top_k(every, every.limit(0)).count() == 0
+
+
+def test_top_k_reads_few_blocks_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "RANGE_SLICE", 8)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 400, (40, 16))
+    points = np.floor(centres[rng.integers(0, 40, 4000)] + rng.normal(0, 20, (4000, 16))).astype(int)
+    # A third are copies of one vector, whose ties go to the smaller ids.
+    points[rng.random(4000) < 0.33] = points[0]
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    # Products that floating point can't hold.
+    rows += [(5000 + i, [2**30 + i, -(2**30) - 7 * i, 3]) for i in range(50)]
+    every = vectors.usable_vectors(spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>"))
+    asking = every.filter("vec_id % 100 = 0")
+    found = vectors.top_k(every, asking, 10, vector_block=200, query_block=8).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert len(got) == 41
+    for q, best in got.items():
+        own = dict(rows)[q]
+        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q and len(v) == len(own))
+        assert sorted(best) == [(n + 1, i, -s) for n, (s, i) in enumerate(scored[:10])]
+    looked = vectors.matches(every, asking, 10, 64, 200, 8).filter("vec_id IS NULL").groupBy("query_id").agg(F.sum("scored").alias("n"))
+    # Queries that are the copied vector tie with all copies; the others are answered from few candidates.
+    shares = [r["n"] / 3999 for r in looked.collect() if r["query_id"] < 5000 and tuple(points[r["query_id"]]) != tuple(points[0])]
+    assert len(shares) > 20 and np.mean(shares) < 0.3
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><nav><ul><li>Home<li>About</ul></nav>
