@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shopfloor.llm.common import checkpointed, small_batches
 from shopfloor.operators.joins import attach
 
-PIVOTS = 64
+PIVOTS = 32
 VECTOR_BLOCK = 16384
 QUERY_BLOCK = 8192
 # Blocks of which one task looks at the ranges, for one group of queries.
@@ -124,7 +124,7 @@ def _range_gaps(low: np.ndarray, high: np.ndarray, far: np.ndarray) -> np.ndarra
 def _best(rows, ids, most, query, query_id, floor, k):
     """The k best (score, id) among the rows and how many were scored.
 
-    Exact but for scores below ``floor``: a row left unscored has a bound below the floor or the k-th score.
+    Scores below ``floor`` are left out; a row left unscored has a bound below the floor or the k-th score.
     """
     order = np.flatnonzero((most >= floor) & (ids != query_id))
     order = order[np.argsort(-most[order], kind="stable")]
@@ -133,11 +133,14 @@ def _best(rows, ids, most, query, query_id, floor, k):
         if len(scores) == k and most[order[at]] < scores[-1]:
             break
         here = order[at : at + step]
-        scores = np.concatenate([scores, (rows[here] @ query).astype(np.int64)])
-        found = np.concatenate([found, ids[here]])
+        products = rows[here] @ query
+        # Of most candidates the score itself is below what is kept.
+        good = np.flatnonzero(products >= (scores[-1] if len(scores) == k else floor))
+        scores = np.concatenate([scores, products[good].astype(np.int64)])
+        found = np.concatenate([found, ids[here[good]]])
         keep = np.lexsort((found, -scores))[:k]
         scores, found = scores[keep], found[keep]
-        at, step = at + len(here), step * 2
+        at, step = at + len(here), step * 4
     return scores, found, at
 
 
@@ -166,9 +169,10 @@ def _search_in(chosen: dict[int, np.ndarray], k: int, own_block: bool):
             # Rounded to a double, a floor may only get smaller.
             floors = np.where(np.isnan(floors), -np.inf, floors - np.abs(floors) * 1e-15)
             gaps = _range_gaps(far.min(axis=0)[None, :], far.max(axis=0)[None, :], far_asks)[:, 0]
+            columns = np.ascontiguousarray(far.T)
             hopeful = _most(norms.max(), norms_asks, gaps, reach) >= floors
             for i in np.flatnonzero(hopeful):
-                gap = np.abs(far - far_asks[i]).max(axis=1) if len(points) else np.zeros(len(rows))
+                gap = np.abs(columns - far_asks[i][:, None]).max(axis=0) if len(points) else np.zeros(len(rows))
                 most = _most(norms, norms_asks[i], gap, reach)
                 scores, found, scored = _best(rows, ids, most, asks[i], names[i], floors[i], k)
                 out[0] += [names[i]] * (len(found) + 1)
