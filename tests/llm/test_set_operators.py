@@ -294,6 +294,24 @@ def test_top_k_reads_few_blocks_of_clustered_vectors(spark, monkeypatch):
     assert len(shares) > 20 and np.mean(shares) < 0.3
 
 
+def test_top_k_without_pivots_and_of_empty_vectors(spark, monkeypatch):
+    # Only the most frequent length gets pivots.
+    monkeypatch.setattr(vectors, "PIVOT_LENGTHS", 1)
+    rows = [(i, [i % 5, i % 3, -i]) for i in range(1, 31)] + [(100 + i, [i, 1]) for i in range(6)] + [(200 + i, []) for i in range(4)] + [(300, [7])]
+    every = vectors.usable_vectors(spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>"))
+    # A query that isn't among the vectors, in a cell of its own.
+    asking = every.unionByName(vectors.usable_vectors(spark.createDataFrame([(900, [10**6, 0, 0])], "vec_id bigint, vector array<bigint>")))
+    got = {}
+    for r in vectors.top_k(every, asking, 4, pivots=5, vector_block=7, query_block=3).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    wanted = {}
+    for q, own in rows + [(900, [10**6, 0, 0])]:
+        scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q and len(v) == len(own))
+        if scored:
+            wanted[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(scored[:4])]
+    assert {q: sorted(best) for q, best in got.items()} == wanted
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><nav><ul><li>Home<li>About</ul></nav>
 <div class="ad">Buy {n}</div><article><h1>Title {n}</h1><p>First &amp; <b>bold</b>
   text {n}<p>Second<br>line</p><script>var x="<p>no</p>"</script><!-- no --><aside>Aside</aside>
