@@ -64,25 +64,23 @@ def completeness(tables: Tables, extract: DataFrame) -> DataFrame:
 def rejected_runs(tables: Tables, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """The runs that the extract leaves out: (run_id, plant_id, product_id, reason), a row for each.
 
-    Reasons are those of ``completeness``, in its order. Runs are told from those kept by anti joins
-    with the active plants and products; only what these leave is looked up again for the reason.
+    Reasons are those of ``completeness``, in its order; a run that is kept has none. The runs pass
+    through both lookups in one branch: in a union of those with and without a plant, one task would
+    hold the same partition of both.
     """
     runs = tables.production_runs.select("run_id", "plant_id", "product_id")
-    active = lambda dimension, key: dimension.filter("is_active").select(key).distinct()
-    plants, products = active(tables.plants, "plant_id"), active(tables.products, "product_id")
-    anti = {"how": "left_anti", "limits": limits, "slice_by": ["run_id"]}
-    without_plant = attach(runs, plants, ["plant_id"], **anti)
-    with_plant = attach(runs, plants, ["plant_id"], **(anti | {"how": "left_semi"}))
-    lost = without_plant.unionByName(attach(with_plant, products, ["product_id"], **anti))
+    marked = runs
     for dimension, key, name in ((tables.plants, "plant_id", "plant"), (tables.products, "product_id", "product")):
-        lost = attach(lost, _known(dimension, key, name), [key], "left", limits=limits, slice_by=["run_id"])
+        known = _known(dimension, key, name)
+        marked = attach(marked, known, [key], "left", limits=limits, keys_from=runs, slice_by=["run_id"])
     reason = (
         F.when(F.col("plant_rows").isNull(), "unknown_plant")
         .when(F.col("product_rows").isNull(), "unknown_product")
         .when(F.col("plant_active") == 0, "inactive_plant")
-        .otherwise("inactive_product")
+        .when(F.col("product_active") == 0, "inactive_product")
     )
-    return lost.select("run_id", "plant_id", "product_id", reason.alias("reason"))
+    found = marked.select("run_id", "plant_id", "product_id", reason.alias("reason"))
+    return found.filter(F.col("reason").isNotNull())
 
 
 def fan_out(tables: Tables, extract: DataFrame) -> DataFrame:

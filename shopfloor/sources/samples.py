@@ -3,6 +3,7 @@
 Each derived table is a plain DataFrame over the parquet files, so its size follows theirs.
 """
 
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import lru_cache
 
@@ -12,6 +13,9 @@ from pyspark.sql.types import StructType
 
 from shopfloor.sources.tables import Tables
 
+# Orders and lines that one task joins.
+SLICE_ROWS = 1_000_000
+
 
 def _plants(read) -> DataFrame:
     return (
@@ -45,16 +49,36 @@ def _products(read) -> DataFrame:
     )
 
 
+def _in_slices(df: DataFrame, rows: int, key: str) -> DataFrame:
+    """Dealt out by ``key`` so that a task gets about ``SLICE_ROWS`` of ``rows``, however well they compress.
+
+    Spark merges partitions by their compressed bytes, of which a task's memory is a large and
+    uncertain multiple; it leaves a given number alone. Where every core gets fewer rows than that
+    anyway, the number is left to Spark.
+    """
+    slices = -(-rows // SLICE_ROWS)
+    return df.repartition(slices, key) if slices > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def _production_runs(read) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
+    items = read("lineitem").select(
+        "l_orderkey",
+        "l_suppkey",
+        "l_partkey",
+        quantity.alias("units"),
+        F.when(F.col("l_returnflag") == "R", quantity).otherwise(0).alias("returned"),
+    )
+    # Both sides in as many slices, so that the join needs no further shuffle.
+    rows = read.rows("orders") + read.rows("lineitem")
     lines = (
-        read("lineitem")
+        _in_slices(items, rows, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(
             F.min("l_suppkey").alias("plant_id"),
             F.min("l_partkey").alias("product_id"),
-            F.sum(quantity).alias("actual_units"),
-            F.sum(F.when(F.col("l_returnflag") == "R", quantity).otherwise(0)).alias("defective_units"),
+            F.sum("units").alias("actual_units"),
+            F.sum("returned").alias("defective_units"),
         )
     )
     key = F.col("o_orderkey")
@@ -64,7 +88,7 @@ def _production_runs(read) -> DataFrame:
         .otherwise((F.col("o_totalprice").cast("decimal(12,2)") % F.lit(Decimal(100))).cast("decimal(5,2)"))
     )
     return (
-        read("orders")
+        _in_slices(read("orders"), rows, "o_orderkey")
         .join(lines, key == F.col("l_orderkey"), "left")
         .select(
             key.alias("run_id"),
@@ -136,9 +160,30 @@ def _schema(spark: SparkSession, path: str) -> StructType:
     return spark.read.parquet(path).schema
 
 
-def from_samples(spark: SparkSession, folder: str) -> Tables:
-    def read(name: str) -> DataFrame:
-        path = f"{folder}/{name}.parquet"
-        return spark.read.schema(_schema(spark, path)).parquet(path)
+@lru_cache(maxsize=256)
+def _rows(spark: SparkSession, path: str) -> int:
+    """Counted in the files' footers once per session; it settles only into how many tasks work is cut."""
+    return spark.read.schema(_schema(spark, path)).parquet(path).count()
 
+
+@dataclass(frozen=True)
+class _Reader:
+    """The sample files of a folder, by name."""
+
+    spark: SparkSession
+    folder: str
+
+    def __call__(self, name: str) -> DataFrame:
+        path = self._path(name)
+        return self.spark.read.schema(_schema(self.spark, path)).parquet(path)
+
+    def rows(self, name: str) -> int:
+        return _rows(self.spark, self._path(name))
+
+    def _path(self, name: str) -> str:
+        return f"{self.folder}/{name}.parquet"
+
+
+def from_samples(spark: SparkSession, folder: str) -> Tables:
+    read = _Reader(spark, folder)
     return Tables(spark, lambda name: _DERIVED[name](read))
